@@ -141,10 +141,10 @@ def validity(edges: DataFrame, keys: list[str], groups: DataFrame | None = None,
 
 def valid_groups(edges: DataFrame, keys: list[str], child: str = "child",
                  parent: str = "parent") -> DataFrame:
-    """Edges of the groups that pass the check (D3)."""
+    """Edges (all columns) of the groups that pass the check (D3)."""
     result = peel(edges, keys, child, parent)
     bad = result.residue.select(*keys).distinct()
-    return result.source.join(bad, keys, "left_anti")
+    return edges.join(bad, keys, "left_anti")
 
 
 def cycle_residue(edges: DataFrame, keys: list[str], child: str = "child",

@@ -63,6 +63,182 @@ SELECT cnt.dimension_id, cnt.n_edges, coalesce(rc.n_residue, 0) AS n_residue,
 FROM cnt LEFT JOIN rc USING (dimension_id)"""
 
 
+def _with_residue(edges_sql: str, extra: str = "") -> str:
+    return f"""WITH RECURSIVE e AS ({edges_sql}),
+{closure()},
+{residue_cte()}{extra}"""
+
+
+EDGE_TABLE_VALIDITY = f"""{_with_residue(DIM_EDGES_OPEN)},
+grp AS (SELECT DISTINCT tenant_id, dimension_id FROM ({DIM_EDGES})),
+cnt AS (SELECT tenant_id, dimension_id, count(*) AS n_edges FROM e GROUP BY ALL),
+rc AS (SELECT tenant_id, dimension_id, count(*) AS n_residue FROM res GROUP BY ALL)
+SELECT grp.tenant_id, grp.dimension_id, coalesce(cnt.n_edges, 0) AS n_edges,
+  coalesce(rc.n_residue, 0) AS n_residue,
+  CASE WHEN coalesce(rc.n_residue, 0) > 0 THEN 'CYCLE' END AS reason,
+  coalesce(rc.n_residue, 0) = 0 AS valid
+FROM grp LEFT JOIN cnt USING (tenant_id, dimension_id) LEFT JOIN rc USING (tenant_id, dimension_id)"""
+
+VALID_DIMENSIONS = f"""{_with_residue(DIM_EDGES)}
+SELECT tenant_id, dimension_id, child, parent FROM e WHERE dimension_id NOT IN (SELECT g FROM cyc)"""
+
+CYCLE_RESIDUE = f"""{_with_residue(DIM_EDGES)}
+SELECT tenant_id, dimension_id, child, parent FROM res"""
+
+NODE_SET = f"""WITH e AS ({DIM_EDGES})
+SELECT dimension_id, child AS node FROM e UNION SELECT dimension_id, parent FROM e"""
+
+DIM_PROFILE = f"""WITH e AS ({LEVEL_EDGES}),
+n AS (SELECT dimension_id, child AS node, 1 AS o, 0 AS i FROM e
+      UNION ALL SELECT dimension_id, parent, 0, 1 FROM e),
+d AS (SELECT dimension_id, node, sum(o) AS od, sum(i) AS idg FROM n GROUP BY ALL)
+SELECT dimension_id, CAST(sum(od) AS BIGINT) AS n_edges, count(*) AS n_nodes,
+  count(*) FILTER (WHERE od = 0) AS n_roots, count(*) FILTER (WHERE idg = 0) AS n_leaves
+FROM d GROUP BY dimension_id"""
+
+ROOT_EDGES_WHERE = """NOT EXISTS (SELECT 1 FROM e e2 WHERE e2.dimension_id = e.dimension_id
+                                    AND e2.child = e.parent)"""
+
+ROOT_EDGES = f"""WITH e AS ({DIM_EDGES}) SELECT * FROM e WHERE {ROOT_EDGES_WHERE}"""
+
+EDGES_MINUS_ROOTS = f"""WITH e AS ({DIM_EDGES})
+SELECT * FROM e EXCEPT SELECT * FROM e WHERE {ROOT_EDGES_WHERE}"""
+
+ADJ = f"""SELECT dimension_id, child AS level, string_agg(parent, ',' ORDER BY parent) AS parents,
+  count(*) AS n_parents FROM ({DIM_EDGES}) GROUP BY dimension_id, child"""
+
+DIM_CONFIG_PARSE = f"""SELECT string_agg(DISTINCT CAST(tenant_id AS VARCHAR), ',') AS tenant_ids,
+  dimension_id, child AS dimension_level, string_agg(parent, ',' ORDER BY parent) AS parents,
+  count(*) AS n_parents FROM ({DIM_EDGES}) GROUP BY dimension_id, child"""
+
+HIER_CONFIG_PARSE = f"""SELECT tenant_id, dimension_id, hierarchy_id, from_level, hierarchy_name, to_level
+FROM ({HIER_EDGES})"""
+
+HIER_CONFIG_TENANT_ARRAY = f"""SELECT tenant_id AS tenant_ids, CAST(1 AS BIGINT) AS n_tenants,
+  dimension_id, hierarchy_id, from_level, hierarchy_name, to_level FROM ({HIER_EDGES})"""
+
+DIM_JSON_PARSE = f"SELECT DISTINCT dimension_id, child, parent FROM ({DIM_EDGES})"
+
+EXPLODE_PARENTS = f"""SELECT CAST(tenant_id AS VARCHAR) AS tenant_ids, dimension_id,
+  child AS dimension_level, parent AS parent_level FROM ({DIM_EDGES})"""
+
+DIM_OF_TENANT = f"SELECT * FROM ({DIM_EDGES}) WHERE tenant_id = 1"
+
+DIM_REPORT = f"""{_with_residue(DIM_EDGES)},
+lv AS (SELECT dimension_id, child AS level FROM e UNION SELECT dimension_id, parent FROM e),
+nl AS (SELECT dimension_id, count(*) AS n_levels FROM lv GROUP BY ALL),
+cnt AS (SELECT dimension_id, count(*) AS n_edges,
+        string_agg(DISTINCT CAST(tenant_id AS VARCHAR), ',') AS tenant_ids FROM e GROUP BY ALL),
+rc AS (SELECT dimension_id, count(*) AS n_residue FROM res GROUP BY ALL)
+SELECT cnt.dimension_id, tenant_ids, n_levels, n_edges, coalesce(rc.n_residue, 0) AS n_residue,
+  CASE WHEN rc.n_residue > 0 THEN 'CYCLE' END AS reason, rc.n_residue IS NULL AS valid
+FROM cnt JOIN nl USING (dimension_id) LEFT JOIN rc USING (dimension_id)"""
+
+DIM_JSON_VALIDITY = f"""{_with_residue(DIM_EDGES)}
+SELECT DISTINCT dimension_id, dimension_id NOT IN (SELECT g FROM cyc) AS valid,
+  'The dimension is ' || CASE WHEN dimension_id NOT IN (SELECT g FROM cyc) THEN 'valid.'
+                              ELSE 'not valid.' END AS answer FROM e"""
+
+# -- hierarchies ----------------------------------------------------------------
+
+HK_COLS = "tenant_id, dimension_id, hierarchy_id, hierarchy_name"
+
+PATH_EDGES = f"""pe AS (SELECT DISTINCT {HK_COLS}, from_level, to_level,
+  tenant_id || '|' || dimension_id || '|' || hierarchy_id || '|' || hierarchy_name AS hk
+  FROM ({HIER_EDGES}) WHERE from_level IS NOT NULL AND to_level IS NOT NULL),
+grp AS (SELECT DISTINCT {HK_COLS}, hk FROM pe),
+nd AS (SELECT hk, from_level AS node, 1 AS o, 0 AS i FROM pe UNION ALL SELECT hk, to_level, 0, 1 FROM pe),
+deg AS (SELECT hk, node, sum(o) AS od, sum(i) AS idg FROM nd GROUP BY ALL),
+st AS (SELECT hk, CAST(sum(od) AS BIGINT) AS n_edges, CAST(max(od) AS BIGINT) AS max_out,
+       CAST(max(idg) AS BIGINT) AS max_in, count(*) FILTER (WHERE idg = 0) AS n_starts
+       FROM deg GROUP BY hk)"""
+
+HIER_BASE = f"""WITH RECURSIVE d AS ({DIM_EDGES_OPEN}),
+dr(g, x, y) AS (SELECT dimension_id, child, parent FROM d
+  UNION SELECT dr.g, dr.x, d.parent FROM dr JOIN d ON d.dimension_id = dr.g AND d.child = dr.y),
+dcyc AS (SELECT DISTINCT g FROM dr WHERE x = y),
+dims AS (SELECT DISTINCT dimension_id, dimension_id NOT IN (SELECT g FROM dcyc) AS dimension_valid FROM d),
+{PATH_EDGES},
+pr(g, x, y) AS (SELECT hk, from_level, to_level FROM pe
+  UNION SELECT pr.g, pr.x, pe.to_level FROM pr JOIN pe ON pe.hk = pr.g AND pe.from_level = pr.y),
+pcyc AS (SELECT DISTINCT g FROM pr WHERE x = y),
+mem AS (SELECT pe.*, EXISTS (SELECT 1 FROM d WHERE d.dimension_id = pe.dimension_id
+          AND d.child = pe.from_level AND d.parent = pe.to_level) AS in_dimension FROM pe),
+miss AS (SELECT hk, count(*) FILTER (WHERE NOT in_dimension) AS n_missing FROM mem GROUP BY hk),
+hv AS (SELECT grp.*, coalesce(st.n_edges, 0) AS n_edges,
+  CASE WHEN coalesce(st.n_edges, 0) = 0 THEN 'EMPTY'
+       WHEN dims.dimension_id IS NULL THEN 'UNKNOWN_DIMENSION'
+       WHEN NOT dims.dimension_valid THEN 'INVALID_DIMENSION'
+       WHEN st.max_out > 1 THEN 'MULTI_PARENT'
+       WHEN pcyc.g IS NOT NULL THEN 'CYCLE'
+       WHEN st.max_in > 1 OR st.n_starts <> 1 THEN 'NOT_A_CHAIN'
+       WHEN miss.n_missing > 0 THEN 'EDGE_NOT_IN_DIMENSION' END AS reason
+  FROM grp LEFT JOIN st USING (hk) LEFT JOIN miss USING (hk)
+  LEFT JOIN dims ON dims.dimension_id = grp.dimension_id LEFT JOIN pcyc ON pcyc.g = grp.hk)"""
+
+HIER_VALIDITY = f"""{HIER_BASE}
+SELECT {HK_COLS}, n_edges, reason, reason IS NULL AS valid FROM hv"""
+
+VALID_HIERARCHIES = f"""{HIER_BASE}
+SELECT pe.tenant_id, pe.dimension_id, pe.hierarchy_id, pe.hierarchy_name, from_level, to_level
+FROM pe JOIN hv USING (hk) WHERE hv.reason IS NULL"""
+
+PATH_EXPLODE = f"""{HIER_BASE}
+SELECT pe.tenant_id, pe.dimension_id, pe.hierarchy_id, pe.hierarchy_name,
+  from_level AS child_level, to_level AS parent_level
+FROM pe JOIN hv USING (hk) WHERE hv.reason IS NULL"""
+
+PATH_INVERTED = f"""{HIER_BASE}
+SELECT pe.tenant_id, pe.dimension_id, pe.hierarchy_id, pe.hierarchy_name,
+  to_level AS parent_level, from_level AS child_level,
+  CAST(1 + (SELECT count(DISTINCT y) FROM pr WHERE pr.g = pe.hk AND pr.x = pe.to_level) AS INTEGER) AS step
+FROM pe JOIN hv USING (hk) WHERE hv.reason IS NULL"""
+
+PATH_EDGES_EXIST = f"""WITH d AS ({DIM_EDGES_OPEN}), {PATH_EDGES},
+mem AS (SELECT pe.*, EXISTS (SELECT 1 FROM d WHERE d.dimension_id = pe.dimension_id
+          AND d.child = pe.from_level AND d.parent = pe.to_level) AS in_dimension FROM pe)
+SELECT {HK_COLS}, count(*) AS n_edges, count(*) FILTER (WHERE NOT in_dimension) AS n_missing,
+  bool_and(in_dimension) AS all_exist FROM mem GROUP BY ALL"""
+
+SINGLE_PARENT = f"""WITH {PATH_EDGES}
+SELECT {HK_COLS}, max_out, max_out <= 1 AS single_parent FROM grp JOIN st USING (hk)"""
+
+PATH_START_END = f"""WITH {PATH_EDGES}
+SELECT {HK_COLS}, node AS level, CASE WHEN idg = 0 THEN 'start' ELSE 'end' END AS role
+FROM grp JOIN deg USING (hk) WHERE idg = 0 OR od = 0"""
+
+HIER_PATH = f"""WITH {PATH_EDGES}
+SELECT {HK_COLS}, count(*) AS n_edges,
+  string_agg(concat_ws('>', from_level, to_level), ';' ORDER BY concat_ws('>', from_level, to_level)) AS path
+FROM pe GROUP BY ALL"""
+
+
 ORACLES: dict[str, str] = {
     "dim_validity": DIM_VALIDITY,
+    "edge_table_validity": EDGE_TABLE_VALIDITY,
+    "valid_dimensions": VALID_DIMENSIONS,
+    "cycle_residue": CYCLE_RESIDUE,
+    "edge_set": DIM_EDGES,
+    "node_set": NODE_SET,
+    "dim_profile": DIM_PROFILE,
+    "root_edges": ROOT_EDGES,
+    "edges_minus_roots": EDGES_MINUS_ROOTS,
+    "dim_graph": ADJ,
+    "dim_config_parse": DIM_CONFIG_PARSE,
+    "hier_config_parse": HIER_CONFIG_PARSE,
+    "hier_config_tenant_array": HIER_CONFIG_TENANT_ARRAY,
+    "dim_json_parse": DIM_JSON_PARSE,
+    "explode_parents": EXPLODE_PARENTS,
+    "explode_tenants": DIM_EDGES,
+    "dim_of_tenant": DIM_OF_TENANT,
+    "dim_report": DIM_REPORT,
+    "dim_json_validity": DIM_JSON_VALIDITY,
+    "hier_path": HIER_PATH,
+    "path_start_end": PATH_START_END,
+    "single_parent": SINGLE_PARENT,
+    "path_edges_exist": PATH_EDGES_EXIST,
+    "hier_validity": HIER_VALIDITY,
+    "valid_hierarchies": VALID_HIERARCHIES,
+    "path_explode": PATH_EXPLODE,
+    "path_inverted": PATH_INVERTED,
 }
