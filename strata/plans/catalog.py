@@ -253,3 +253,171 @@ def path_explode(spark, sf_dir):
 def path_inverted(spark, sf_dir):
     """H6: valid paths parent -> child, with the step from the top."""
     return H.invert_path(H.valid_hierarchies(_hier(spark, sf_dir), _dims_open(spark, sf_dir)))
+
+
+# -- calendar rules (E3, E5-E10) -------------------------------------------------
+
+from strata.functions import calendar as CAL  # noqa: E402
+from strata.functions import rules as R  # noqa: E402
+from strata.operators import expand as X  # noqa: E402
+from strata.operators import levels as LV  # noqa: E402
+
+SEED = 42
+
+
+def _years(spark, sf_dir):
+    r = FX.time_roots(spark, sf_dir)
+    return r.filter(F.col("hierarchy_id") == "ad_calendar").select(F.col("element_id").alias("year"))
+
+
+def _periods(spark, sf_dir):
+    return _years(spark, sf_dir).select(F.explode(CAL.year_periods(F.col("year"))).alias("period"))
+
+
+@query
+def year_periods(spark, sf_dir):
+    """E5: the 13 periods of every order year."""
+    return _years(spark, sf_dir).select("year", F.explode(CAL.year_periods(F.col("year"))).alias("period"))
+
+
+@query
+def period_weeks(spark, sf_dir):
+    """The 4 week starts of every period."""
+    return _periods(spark, sf_dir).select("period", F.explode(CAL.period_weeks(F.col("period"))).alias("week_start"))
+
+
+@query
+def week_days(spark, sf_dir):
+    """The 7 days of every week of every period."""
+    weeks = _periods(spark, sf_dir).select(F.explode(CAL.period_weeks(F.col("period"))).alias("week_start"))
+    return weeks.select("week_start", F.explode(CAL.week_days(F.col("week_start"))).alias("day"))
+
+
+@query
+def period_week_indices(spark, sf_dir):
+    """The 4 week indices of every period."""
+    return _periods(spark, sf_dir).select(
+        "period", F.explode(CAL.period_week_indices(F.col("period"))).alias("week_index"))
+
+
+@query
+def index_week(spark, sf_dir):
+    """The week start of every week index."""
+    idx = _periods(spark, sf_dir).select(F.explode(CAL.period_week_indices(F.col("period"))).alias("week_index"))
+    return idx.select("week_index", F.explode(CAL.index_week(F.col("week_index"))).alias("week_start"))
+
+
+@query
+def quarter_periods(spark, sf_dir):
+    """The 4 periods of every (year, quarter) with orders."""
+    q = FX.time_roots(spark, sf_dir).filter(F.col("hierarchy_id") == "fiscal_quarter")
+    return q.select(F.col("element_id").alias("quarter"),
+                    F.explode(CAL.quarter_periods(F.col("element_id"))).alias("period"))
+
+
+@query
+def random_week_starts(spark, sf_dir):
+    """A seeded random week start for every order date used as anchor."""
+    d = table(spark, sf_dir, "orders", "o_orderdate").select(
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("anchor")).distinct()
+    return d.select("anchor", CAL.random_week_start(F.to_date("anchor"), SEED, F.col("anchor"))
+                    .alias("week_start"))
+
+
+# -- generation (E1, E12-E17) --------------------------------------------------------
+
+def _valid_generic(spark, sf_dir):
+    return H.valid_hierarchies(_hier(spark, sf_dir), _dims_open(spark, sf_dir))
+
+
+def _calendar_roots(spark, sf_dir):
+    cal = FX.calendar_hierarchies(spark).select(*HK).distinct()
+    r = FX.time_roots(spark, sf_dir)
+    return cal.join(r, "hierarchy_id").select(*HK, "level", "element_id",
+                                              F.col("element_id").alias("element_label"))
+
+
+@query
+def top_elements(spark, sf_dir):
+    """The seeded top element of every valid hierarchy and calendar."""
+    pe = _valid_generic(spark, sf_dir).unionByName(FX.calendar_hierarchies(spark))
+    return X.top_elements(pe, seed=SEED)
+
+
+@query
+def generic_children(spark, sf_dir):
+    """E11/E12 with a fixed fan-out of 3: children of each generic top element."""
+    pe = _valid_generic(spark, sf_dir)
+    tops = X.top_elements(pe, seed=SEED)
+    inv = pe.select(*HK, F.col("to_level").alias("level"), F.col("from_level").alias("child_level"))
+    j = tops.join(inv, [*HK, "level"])
+    vals = R.child_values(F.col("child_level"), F.col("level"), F.col("element_label"), F.lit(3))
+    k = j.select(*HK, F.col("level").alias("parent_level"), "child_level",
+                 F.col("element_id").alias("parent_element_id"), F.posexplode(vals).alias("pos", "value"))
+    return k.select(*HK, "parent_level", "child_level", "parent_element_id",
+                    R.child_id(F.col("child_level"), F.col("value"), F.col("pos")).alias("child_element_id"),
+                    R.child_label(F.col("child_level"), F.col("value"), F.col("pos")).alias("child_element_label"))
+
+
+@query
+def hier_elements(spark, sf_dir):
+    """The calendars expanded from the order years (rule-driven, no draw)."""
+    exp = X.expand(FX.calendar_hierarchies(spark), roots=_calendar_roots(spark, sf_dir), seed=SEED)
+    return exp.edges
+
+
+@query
+def element_edges(spark, sf_dir):
+    """Valid generic hierarchies from seeded tops, seeded 3-4 fan-out."""
+    return X.expand(_valid_generic(spark, sf_dir), seed=SEED).edges
+
+
+@query
+def sequential_years(spark, sf_dir):
+    """One year per valid hierarchy, consecutive within each tenant."""
+    g = H.hierarchy_groups(_valid_generic(spark, sf_dir))
+    return X.sequential_years(g, ["tenant_id"], ["dimension_id", "hierarchy_id", "hierarchy_name"], SEED)
+
+
+@query
+def edgewise_elements(spark, sf_dir):
+    """v1 generator, each path edge on its own (calendars and generic paths)."""
+    pe = _valid_generic(spark, sf_dir).unionByName(FX.calendar_hierarchies(spark))
+    return X.edgewise_elements(pe, seed=SEED)
+
+
+# -- levels (T1-T4) ---------------------------------------------------------------
+
+def _levels(spark, sf_dir):
+    return LV.pushed_levels(FX.level_edges(spark, sf_dir), DIM)
+
+
+@query
+def node_levels(spark, sf_dir):
+    """Longest path to a root, for every node of the acyclic dimensions."""
+    return LV.node_levels(FX.level_edges(spark, sf_dir), DIM)[0]
+
+
+@query
+def node_levels_pushed(spark, sf_dir):
+    """Levels after pushing nodes down to their children."""
+    return _levels(spark, sf_dir)
+
+
+@query
+def skip_level_edges(spark, sf_dir):
+    """Edges that skip a level (pushed levels)."""
+    e = FX.level_edges(spark, sf_dir).select(*DIM, "child", "parent")
+    return LV.skip_level_edges(e, _levels(spark, sf_dir), DIM)
+
+
+@query
+def level_profile(spark, sf_dir):
+    """T4: nodes per level and number of levels."""
+    return LV.level_profile(_levels(spark, sf_dir), DIM)
+
+
+@query
+def level_slots(spark, sf_dir):
+    """T4: slot of each node within its level."""
+    return LV.level_slots(_levels(spark, sf_dir), DIM)

@@ -213,6 +213,227 @@ SELECT {HK_COLS}, count(*) AS n_edges,
 FROM pe GROUP BY ALL"""
 
 
+# -- seeded draws and calendars -------------------------------------------------
+
+SEED = "42"
+
+
+def sql_draw(*parts: str) -> str:
+    """The same number as ``strata.functions.draws.draw``."""
+    return f"('0x' || substr(md5(concat_ws('|', '{SEED}', {', '.join(parts)})), 1, 8))::BIGINT"
+
+
+def sql_week_start(anchor_date: str, *parts: str) -> str:
+    """Anchor - a years - 7b days - c months, then the next Wednesday (1-7 days on)."""
+    a = f"CAST({sql_draw(*parts, "'years'")} % 25 AS INTEGER)"
+    b = f"CAST({sql_draw(*parts, "'weeks'")} % 25 AS INTEGER)"
+    c = f"CAST({sql_draw(*parts, "'months'")} % 25 AS INTEGER)"
+    d = f"CAST(CAST({anchor_date} AS DATE) - to_years({a}) - to_days(7 * {b}) - to_months({c}) AS DATE)"
+    return f"strftime({d} + CAST(((3 - isodow({d}) + 6) % 7) + 1 AS INTEGER), '%Y-%m-%d')"
+
+
+def sql_year(*parts: str) -> str:
+    return f"CAST(1998 + {sql_draw(*parts, "'year'")} % 25 AS VARCHAR)"
+
+
+YEARS = "SELECT DISTINCT CAST(year(o_orderdate) AS VARCHAR) AS year FROM orders"
+QUARTERS = """SELECT DISTINCT CAST(year(o_orderdate) AS VARCHAR) || '0' || CAST(quarter(o_orderdate) AS VARCHAR)
+  AS quarter FROM orders"""
+PERIODS = f"SELECT year, year || lpad(CAST(p AS VARCHAR), 2, '0') AS period FROM ({YEARS}) y, range(1, 14) t(p)"
+
+
+def sql_period_week(period: str, i: str) -> str:
+    return (f"strftime(make_date(CAST(substr({period}, 1, 4) AS INTEGER), 1, 1) + "
+            f"CAST(28 * (CAST(substr({period}, 5, 2) AS INTEGER) - 1) + 7 * {i} AS INTEGER), '%Y-%m-%d')")
+
+
+PERIOD_WEEKS = f"""SELECT period, {sql_period_week('period', 'i')} AS week_start
+FROM ({PERIODS}) p, range(0, 4) t(i)"""
+WEEK_DAYS = f"""SELECT week_start, strftime(CAST(week_start AS DATE) + CAST(d AS INTEGER), '%Y-%m-%d') AS day
+FROM ({PERIOD_WEEKS}) w, range(0, 7) t(d)"""
+PERIOD_WEEK_INDICES = f"""SELECT period, CAST(CAST(substr(period, 1, 4) AS INTEGER) AS VARCHAR) || substr(period, 5, 2)
+  || '0' || CAST(i AS VARCHAR) AS week_index FROM ({PERIODS}) p, range(1, 5) t(i)"""
+INDEX_WEEK = f"""SELECT week_index, strftime(make_date(CAST(substr(week_index, 1, 4) AS INTEGER), 1, 1)
+  + (28 * (CAST(substr(week_index, 5, 2) AS INTEGER) - 1) + 7 * (CAST(substr(week_index, 7, 2) AS INTEGER) - 1)),
+  '%Y-%m-%d') AS week_start FROM ({PERIOD_WEEK_INDICES}) x"""
+QUARTER_PERIODS = f"""SELECT quarter, substr(quarter, 1, 4) || lpad(CAST(p AS VARCHAR), 2, '0') AS period
+FROM ({QUARTERS}) q, range(1, 14) t(p)
+WHERE p BETWEEN 3 * (CAST(substr(quarter, 5, 2) AS INTEGER) - 1) + 1
+            AND 3 * (CAST(substr(quarter, 5, 2) AS INTEGER) - 1) + 4"""
+RANDOM_WEEK_STARTS = f"""SELECT anchor, {sql_week_start('anchor', 'anchor')} AS week_start
+FROM (SELECT DISTINCT strftime(o_orderdate, '%Y-%m-%d') AS anchor FROM orders) a"""
+
+
+def _calendar_values() -> str:
+    from strata.sources.fixtures import CALENDAR_CHAINS
+    rows = []
+    for hid, chain in CALENDAR_CHAINS.items():
+        for child, parent in zip(chain, chain[1:]):
+            rows.append(f"('0', 'time', '{hid}', '{hid.replace('_', ' ')}', '{child}', '{parent}')")
+    return ("SELECT * FROM (VALUES " + ", ".join(rows) +
+            ") t(tenant_id, dimension_id, hierarchy_id, hierarchy_name, from_level, to_level)")
+
+
+CALENDAR = _calendar_values()
+
+VALID_PATHS = f"""vpe AS (SELECT pe.tenant_id, pe.dimension_id, pe.hierarchy_id, pe.hierarchy_name,
+  from_level, to_level FROM pe JOIN hv USING (hk) WHERE hv.reason IS NULL)"""
+
+KEYS4 = ["tenant_id", "dimension_id", "hierarchy_id", "hierarchy_name"]
+
+
+def _same_h(a: str, b: str) -> str:
+    return " AND ".join(f"{a}.{k} = {b}.{k}" for k in KEYS4)
+
+
+def _ends(src: str) -> str:
+    return f"""SELECT DISTINCT {HK_COLS}, to_level AS level FROM {src} v WHERE NOT EXISTS (
+  SELECT 1 FROM {src} w WHERE {_same_h('w', 'v')} AND w.from_level = v.to_level)"""
+
+
+TOP_ELEMENTS = f"""{HIER_BASE}, {VALID_PATHS},
+allp AS (SELECT * FROM vpe UNION ALL {CALENDAR}),
+ends AS ({_ends('allp')}),
+drawn AS (SELECT *, {sql_year(*KEYS4)} AS y,
+  lpad(CAST(1 + {sql_draw(*KEYS4, "'period'")} % 13 AS VARCHAR), 2, '0') AS pp,
+  CAST(1 + {sql_draw(*KEYS4, "'quarter'")} % 4 AS VARCHAR) AS q FROM ends),
+tops AS (SELECT {HK_COLS}, level,
+  CASE WHEN regexp_matches(level, '^(Fiscal|Ad) Year$') THEN y
+       WHEN regexp_matches(level, '^(Fiscal|Ad) Period$') THEN y || pp
+       WHEN level = 'Fiscal Quarter' THEN y || '0' || q END AS v FROM drawn)
+SELECT {HK_COLS}, level, coalesce(v, level || '_id') AS element_id,
+  coalesce(v, level || '_label') AS element_label FROM tops"""
+
+GENERIC_CHILDREN = f"""{HIER_BASE}, {VALID_PATHS},
+ends AS ({_ends('vpe')})
+SELECT e.tenant_id, e.dimension_id, e.hierarchy_id, e.hierarchy_name, e.level AS parent_level,
+  v.from_level AS child_level, e.level || '_id' AS parent_element_id,
+  v.from_level || '_id' || CAST(i AS VARCHAR) AS child_element_id,
+  v.from_level || '_label' || CAST(i AS VARCHAR) AS child_element_label
+FROM ends e JOIN vpe v ON {_same_h('v', 'e')} AND v.to_level = e.level, range(1, 4) t(i)"""
+
+ELEMENT_COLS = """tenant_id, hierarchy_id, hierarchy_name, dimension_id, child_level, parent_level,
+  parent_element_id, child_element_id, child_element_label, parent_element_label"""
+
+HIER_ELEMENTS = f"""WITH yp AS ({PERIODS}), qs AS ({QUARTERS}),
+qp AS (SELECT quarter AS q, period FROM ({QUARTER_PERIODS}) x),
+allp AS (SELECT period FROM yp UNION SELECT period FROM qp),
+pw AS (SELECT period, {sql_period_week('period', 'i')} AS week FROM allp, range(0, 4) t(i)),
+wd AS (SELECT DISTINCT week, strftime(CAST(week AS DATE) + CAST(d AS INTEGER), '%Y-%m-%d') AS day FROM pw, range(0, 7) t(d)),
+pi AS (SELECT period, CAST(CAST(substr(period, 1, 4) AS INTEGER) AS VARCHAR) || substr(period, 5, 2) || '0'
+       || CAST(i AS VARCHAR) AS widx FROM yp, range(1, 5) t(i)),
+iw AS (SELECT widx, strftime(make_date(CAST(substr(widx, 1, 4) AS INTEGER), 1, 1)
+       + CAST(28 * (CAST(substr(widx, 5, 2) AS INTEGER) - 1) + 7 * (CAST(substr(widx, 7, 2) AS INTEGER) - 1) AS INTEGER),
+       '%Y-%m-%d') AS week FROM pi),
+ed AS (
+  SELECT 'ad_calendar' AS hierarchy_id, 'Ad Period' AS child_level, 'Ad Year' AS parent_level, year AS pid, period AS cid FROM yp
+  UNION ALL SELECT 'ad_calendar', 'Ad Week', 'Ad Period', period, week FROM pw WHERE period IN (SELECT period FROM yp)
+  UNION ALL SELECT 'ad_calendar', 'Day', 'Ad Week', week, day FROM wd
+    WHERE week IN (SELECT week FROM pw WHERE period IN (SELECT period FROM yp))
+  UNION ALL SELECT 'fiscal_calendar', 'Fiscal Period', 'Fiscal Year', year, period FROM yp
+  UNION ALL SELECT 'fiscal_calendar', 'Fiscal Week Index', 'Fiscal Period', period, widx FROM pi
+  UNION ALL SELECT 'fiscal_calendar', 'Fiscal Week', 'Fiscal Week Index', widx, week FROM iw
+  UNION ALL SELECT 'fiscal_calendar', 'Day', 'Fiscal Week', week, day FROM wd WHERE week IN (SELECT week FROM iw)
+  UNION ALL SELECT 'fiscal_quarter', 'Fiscal Period', 'Fiscal Quarter', q, period FROM qp
+  UNION ALL SELECT 'fiscal_quarter', 'Fiscal Week', 'Fiscal Period', period, week FROM pw
+    WHERE period IN (SELECT period FROM qp)
+  UNION ALL SELECT 'fiscal_quarter', 'Day', 'Fiscal Week', week, day FROM wd
+    WHERE week IN (SELECT week FROM pw WHERE period IN (SELECT period FROM qp)))
+SELECT DISTINCT '0' AS tenant_id, hierarchy_id, replace(hierarchy_id, '_', ' ') AS hierarchy_name,
+  'time' AS dimension_id, child_level, parent_level, pid AS parent_element_id, cid AS child_element_id,
+  cid AS child_element_label, pid AS parent_element_label FROM ed"""
+
+_FAN = f"3 + {sql_draw(*[f'el.{k}' for k in KEYS4], 'el.level', 'el.eid')} % 2"
+
+ELEMENT_EDGES = f"""{HIER_BASE}, {VALID_PATHS},
+ends AS ({_ends('vpe')}),
+el(tenant_id, dimension_id, hierarchy_id, hierarchy_name, level, eid, elabel) AS (
+  SELECT {HK_COLS}, level, level || '_id', level || '_label' FROM ends
+  UNION SELECT el.tenant_id, el.dimension_id, el.hierarchy_id, el.hierarchy_name, v.from_level,
+    v.from_level || '_id' || CAST(i AS VARCHAR), v.from_level || '_label' || CAST(i AS VARCHAR)
+  FROM el JOIN vpe v ON {_same_h('v', 'el')} AND v.to_level = el.level
+  JOIN range(1, 5) t(i) ON i <= {_FAN})
+SELECT DISTINCT el.tenant_id, el.hierarchy_id, el.hierarchy_name, el.dimension_id, v.from_level AS child_level,
+  el.level AS parent_level, el.eid AS parent_element_id, v.from_level || '_id' || CAST(i AS VARCHAR) AS child_element_id,
+  v.from_level || '_label' || CAST(i AS VARCHAR) AS child_element_label, el.elabel AS parent_element_label
+FROM el JOIN vpe v ON {_same_h('v', 'el')} AND v.to_level = el.level
+JOIN range(1, 5) t(i) ON i <= {_FAN}"""
+
+_SEQ_START = f"1998 + {sql_draw('tenant_id', "'start'")} % 25"
+
+SEQUENTIAL_YEARS = f"""{HIER_BASE},
+g AS (SELECT DISTINCT {HK_COLS} FROM hv WHERE reason IS NULL)
+SELECT {HK_COLS}, CAST({_SEQ_START} + row_number() OVER (PARTITION BY tenant_id
+  ORDER BY dimension_id, hierarchy_id, hierarchy_name) AS VARCHAR) AS year FROM g"""
+
+EDGEWISE_ELEMENTS = f"""{HIER_BASE}, {VALID_PATHS},
+allp AS (SELECT * FROM vpe UNION ALL {CALENDAR}),
+yr AS (SELECT *, CAST({_SEQ_START} + row_number() OVER (PARTITION BY tenant_id
+  ORDER BY dimension_id, hierarchy_id, hierarchy_name, from_level) AS VARCHAR) AS y
+  FROM allp WHERE dimension_id = 'time' AND to_level = 'Ad Year'),
+par AS (SELECT a.*, CASE
+    WHEN a.dimension_id = 'time' AND a.to_level = 'Ad Week'
+      THEN {sql_week_start("'2023-01-01'", *[f'a.{k}' for k in KEYS4], 'a.from_level')}
+    WHEN a.dimension_id = 'time' AND a.to_level = 'Ad Year' THEN yr.y
+    WHEN a.dimension_id = 'time' AND a.to_level = 'Ad Period' THEN 'Ad period from case matching_id1'
+    WHEN a.dimension_id = 'time' AND a.to_level IN ('Fiscal Period', 'Fiscal Week', 'Fiscal Year')
+      THEN a.to_level || ' from case matching_id1'
+    ELSE a.to_level || '_id1' END AS pid,
+  CASE WHEN a.dimension_id = 'time' AND a.to_level IN ('Ad Week', 'Ad Year') THEN NULL
+       WHEN a.dimension_id = 'time' AND a.to_level IN ('Ad Period', 'Fiscal Period', 'Fiscal Week', 'Fiscal Year')
+         THEN 'label from case matching_id1'
+       ELSE a.to_level || '_label_id1' END AS plabel
+  FROM allp a LEFT JOIN yr ON {_same_h('yr', 'a')} AND yr.from_level = a.from_level AND yr.to_level = a.to_level)
+SELECT tenant_id, dimension_id, from_level AS child_level, to_level AS parent_level, pid AS parent_element_id,
+  cid AS child_element_id, cid AS child_element_label, coalesce(plabel, pid) AS parent_element_label
+FROM (
+  SELECT par.*, strftime(CAST(pid AS DATE) + CAST(d AS INTEGER), '%Y-%m-%d') AS cid FROM par, range(0, 7) t(d)
+    WHERE from_level = 'Day' AND to_level = 'Ad Week'
+  UNION ALL SELECT par.*, pid || lpad(CAST(p AS VARCHAR), 2, '0') FROM par, range(1, 14) t(p)
+    WHERE from_level = 'Ad Period' AND to_level = 'Ad Year'
+  UNION ALL SELECT par.*, from_level || '_id' || CAST(i AS VARCHAR) FROM par, range(1, 3) t(i)
+    WHERE NOT (from_level = 'Day' AND to_level = 'Ad Week') AND NOT (from_level = 'Ad Period' AND to_level = 'Ad Year')
+) x"""
+
+# -- levels -----------------------------------------------------------------------
+
+LEVEL_BASE = f"""WITH RECURSIVE e AS ({LEVEL_EDGES}),
+{closure()},
+cyc AS (SELECT DISTINCT g FROM r WHERE x = y),
+ge AS (SELECT dimension_id, child, parent FROM e WHERE dimension_id NOT IN (SELECT g FROM cyc)),
+up(g, x, y, len) AS (SELECT dimension_id, child, parent, 1 FROM ge
+  UNION SELECT up.g, up.x, ge.parent, up.len + 1 FROM up JOIN ge ON ge.dimension_id = up.g AND ge.child = up.y),
+nodes AS (SELECT dimension_id AS g, child AS node FROM ge UNION SELECT dimension_id, parent FROM ge),
+t1 AS (SELECT nodes.g, nodes.node, coalesce(max(up.len), 0) AS level
+       FROM nodes LEFT JOIN up ON up.g = nodes.g AND up.x = nodes.node GROUP BY ALL),
+leaves AS (SELECT g, node FROM nodes WHERE NOT EXISTS (
+  SELECT 1 FROM ge WHERE ge.dimension_id = nodes.g AND ge.parent = nodes.node)),
+cand AS (SELECT t1.g, t1.node AS x, t1.level AS v FROM t1 JOIN leaves USING (g, node)
+  UNION ALL SELECT up.g, up.y, t1.level - up.len FROM up
+    JOIN leaves l ON l.g = up.g AND l.node = up.x JOIN t1 ON t1.g = l.g AND t1.node = l.node),
+t2 AS (SELECT g, x AS node, min(v) AS level FROM cand GROUP BY ALL)"""
+
+NODE_LEVELS = f"""{LEVEL_BASE}
+SELECT g AS dimension_id, node, CAST(level AS INTEGER) AS level FROM t1"""
+
+NODE_LEVELS_PUSHED = f"""{LEVEL_BASE}
+SELECT g AS dimension_id, node, CAST(level AS INTEGER) AS level FROM t2"""
+
+SKIP_LEVEL_EDGES = f"""{LEVEL_BASE}
+SELECT ge.dimension_id, ge.child, ge.parent, CAST(c.level AS INTEGER) AS child_level,
+  CAST(p.level AS INTEGER) AS parent_level
+FROM ge JOIN t2 c ON c.g = ge.dimension_id AND c.node = ge.child
+JOIN t2 p ON p.g = ge.dimension_id AND p.node = ge.parent WHERE c.level - p.level >= 2"""
+
+LEVEL_PROFILE = f"""{LEVEL_BASE}
+SELECT g AS dimension_id, CAST(level AS INTEGER) AS level, count(*) AS n_nodes,
+  (SELECT count(DISTINCT level) FROM t2 x WHERE x.g = t2.g) AS n_levels FROM t2 GROUP BY ALL"""
+
+LEVEL_SLOTS = f"""{LEVEL_BASE}
+SELECT g AS dimension_id, node, CAST(level AS INTEGER) AS level,
+  row_number() OVER (PARTITION BY g, level ORDER BY node) - 1 AS slot FROM t2"""
+
+
 ORACLES: dict[str, str] = {
     "dim_validity": DIM_VALIDITY,
     "edge_table_validity": EDGE_TABLE_VALIDITY,
@@ -241,4 +462,22 @@ ORACLES: dict[str, str] = {
     "valid_hierarchies": VALID_HIERARCHIES,
     "path_explode": PATH_EXPLODE,
     "path_inverted": PATH_INVERTED,
+    "year_periods": PERIODS,
+    "period_weeks": PERIOD_WEEKS,
+    "week_days": WEEK_DAYS,
+    "period_week_indices": PERIOD_WEEK_INDICES,
+    "index_week": INDEX_WEEK,
+    "quarter_periods": QUARTER_PERIODS,
+    "random_week_starts": RANDOM_WEEK_STARTS,
+    "top_elements": TOP_ELEMENTS,
+    "generic_children": GENERIC_CHILDREN,
+    "hier_elements": HIER_ELEMENTS,
+    "element_edges": ELEMENT_EDGES,
+    "sequential_years": SEQUENTIAL_YEARS,
+    "edgewise_elements": EDGEWISE_ELEMENTS,
+    "node_levels": NODE_LEVELS,
+    "node_levels_pushed": NODE_LEVELS_PUSHED,
+    "skip_level_edges": SKIP_LEVEL_EDGES,
+    "level_profile": LEVEL_PROFILE,
+    "level_slots": LEVEL_SLOTS,
 }
