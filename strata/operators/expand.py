@@ -86,6 +86,9 @@ def expand(valid_pe: DataFrame, roots: DataFrame | None = None, seed: int = 42,
         j = frontier.join(inv_side, [*keys, "level"])
         vals = R.child_values(F.col("child_level"), F.col("level"), F.col("element_label"),
                               fanout_column(fanout, seed, keys))
+        # Value-named children that repeat are one element: dedupe inside the
+        # array, so that (parent, child) rows are distinct without a shuffle.
+        vals = F.when(F.col("child_level").rlike(R.VALUE_NAMED_LEVEL), F.array_distinct(vals)).otherwise(vals)
         j = state.materialise(j.withColumn("_vals", vals))
         rejected_parts.append(j.filter(F.col("_vals").isNull()).select(
             *keys, F.col("level").alias("parent_level"), "child_level",
@@ -101,7 +104,7 @@ def expand(valid_pe: DataFrame, roots: DataFrame | None = None, seed: int = 42,
             *keys, "parent_level", "child_level", "parent_element_id", "parent_element_label",
             R.child_id(F.col("child_level"), F.col("_value"), F.col("_pos")).alias("child_element_id"),
             R.child_label(F.col("child_level"), F.col("_value"), F.col("_pos")).alias("child_element_label"),
-        ).distinct()
+        )
         edge_parts.append(kids.select(*ELEMENT_EDGE_COLUMNS))
         frontier = state.materialise(kids.select(
             *keys, F.col("child_level").alias("level"), F.col("child_element_id").alias("element_id"),

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from strata.operators import edges as E
 from strata.operators import peel as P
+from strata.session import Scope, cut
 
 HIER_KEYS = ["tenant_id", "dimension_id", "hierarchy_id", "hierarchy_name"]
 FROM, TO = "from_level", "to_level"
@@ -82,21 +83,24 @@ def validate(hier: DataFrame, dim_edges: DataFrame, keys: list[str] = HIER_KEYS,
 
     ``require_valid_dimension=False`` checks against unvalidated dimensions,
     as the reference's file form does."""
-    pe = path_edges(hier, keys)
-    groups = hierarchy_groups(hier, keys)
+    scope = Scope()
+    pe = scope.persist(path_edges(hier, keys))
+    groups = hierarchy_groups(pe, keys)
     stats = path_stats(pe, keys)
     missing = edge_membership(pe, dim_edges, keys).groupBy(*keys).agg(
         F.count(F.when(~F.col("in_dimension"), 1)).alias("n_missing"))
     dims = dimension_status(dim_edges)
     base = (groups.join(stats, keys, "left").join(missing, keys, "left")
             .join(dims, ["dimension_id"], "left"))
+    base = scope.persist(base)
     # Only hierarchies that reach the cycle test need the peel.
     undecided = base.filter(
         (F.col("n_edges") > 0) & F.col("dimension_valid").isNotNull()
         & (F.col("dimension_valid") | F.lit(not require_valid_dimension))
         & (F.col("max_out") <= 1)).select(*keys)
-    cyclic = (P.peel(pe.join(undecided, keys, "left_semi"), keys, FROM, TO).residue
-              .select(*keys).distinct().withColumn("cyclic", F.lit(True)))
+    peeled = P.peel(pe.join(undecided, keys, "left_semi"), keys, FROM, TO)
+    scope.adopt(peeled.held)
+    cyclic = peeled.residue.select(*keys).distinct().withColumn("cyclic", F.lit(True))
     full = base.join(cyclic, keys, "left")
     reason = (
         F.when(F.coalesce(F.col("n_edges"), F.lit(0)) == 0, "EMPTY")
@@ -107,15 +111,15 @@ def validate(hier: DataFrame, dim_edges: DataFrame, keys: list[str] = HIER_KEYS,
         .when((F.col("max_in") > 1) | (F.col("n_starts") != 1), "NOT_A_CHAIN")
         .when(F.col("n_missing") > 0, "EDGE_NOT_IN_DIMENSION")
     )
-    return full.select(*keys, F.coalesce("n_edges", F.lit(0)).cast("bigint").alias("n_edges"),
-                       reason.alias("reason")).withColumn("valid", F.col("reason").isNull())
+    return scope.finish(full.select(*keys, F.coalesce("n_edges", F.lit(0)).cast("bigint").alias("n_edges"),
+                                    reason.alias("reason")).withColumn("valid", F.col("reason").isNull()))
 
 
 def valid_hierarchies(hier: DataFrame, dim_edges: DataFrame, keys: list[str] = HIER_KEYS,
                       require_valid_dimension: bool = True) -> DataFrame:
     """H5: the path edges of the hierarchies that pass ``validate``."""
     ok = validate(hier, dim_edges, keys, require_valid_dimension).filter("valid").select(*keys)
-    return path_edges(hier, keys).join(ok, keys, "left_semi")
+    return cut(path_edges(hier, keys).join(ok, keys, "left_semi"))
 
 
 def invert_path(valid_pe: DataFrame, keys: list[str] = HIER_KEYS) -> DataFrame:
@@ -123,6 +127,7 @@ def invert_path(valid_pe: DataFrame, keys: list[str] = HIER_KEYS) -> DataFrame:
 
     The order is the peel round in which the edge is removed: on a chain the
     top edge goes first."""
-    r = P.peel(valid_pe, keys, FROM, TO, track_rounds=True).removed
-    return r.select(*keys, F.col(TO).alias("parent_level"), F.col(FROM).alias("child_level"),
+    res = P.peel(valid_pe, keys, FROM, TO, track_rounds=True)
+    res.release()
+    return res.removed.select(*keys, F.col(TO).alias("parent_level"), F.col(FROM).alias("child_level"),
                     F.col("round").alias("step"))

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from strata.operators import edges as E
 from strata.operators import peel as P
 from strata.operators.sequence import row_number_by
+from strata.session import cut
 
 
 def node_levels(edges: DataFrame, keys: list[str], child: str = "child",
@@ -28,12 +29,13 @@ def node_levels(edges: DataFrame, keys: list[str], child: str = "child",
     """``keys, node, level`` for acyclic groups; also returns their edges."""
     res = P.peel(edges, keys, child, parent, track_rounds=True)
     bad = res.residue.select(*keys).distinct()
-    good_edges = res.source.join(bad, keys, "left_anti")
+    good_edges = cut(res.source.join(bad, keys, "left_anti"))
     removed = res.removed.join(bad, keys, "left_anti")
     deepest = removed.groupBy(*keys, F.col(child).alias("node")).agg(F.max("round").alias("level"))
     nodes = E.node_set(good_edges, keys, child, parent)
-    levels = nodes.join(deepest, [*keys, "node"], "left").select(
-        *keys, "node", F.coalesce("level", F.lit(0)).cast("int").alias("level"))
+    levels = cut(nodes.join(deepest, [*keys, "node"], "left").select(
+        *keys, "node", F.coalesce("level", F.lit(0)).cast("int").alias("level")))
+    res.release()
     return levels, good_edges
 
 
@@ -41,12 +43,11 @@ def pushed_levels(edges: DataFrame, keys: list[str], child: str = "child",
                   parent: str = "parent", checkpoint_every: int = 4) -> DataFrame:
     """``keys, node, level`` after pushing nodes down towards their children."""
     t1, good = node_levels(edges, keys, child, parent)
-    t1 = t1.persist()
     depth = t1.agg(F.max("level")).first()[0] or 0
     is_parent = good.select(*keys, F.col(parent).alias("node")).distinct().withColumn("_p", F.lit(True))
     base = t1.join(is_parent, [*keys, "node"], "left").select(
         *keys, "node", F.col("level").alias("t1"), F.col("_p").isNull().alias("leaf"))
-    base = base.persist()
+    base = cut(base)
     cur = base.select(*keys, "node", F.when(F.col("leaf"), F.col("t1")).alias("level"))
     state = P._Rounds(checkpoint_every)
     for _ in range(depth):
@@ -55,7 +56,9 @@ def pushed_levels(edges: DataFrame, keys: list[str], child: str = "child",
                 .groupBy(*keys, F.col(parent).alias("node")).agg((F.min("level") - 1).alias("cand")))
         cur = state.materialise(base.join(cand, [*keys, "node"], "left").select(
             *keys, "node", F.when(F.col("leaf"), F.col("t1")).otherwise(F.col("cand")).alias("level")))
-    return cur.select(*keys, "node", F.col("level").cast("int").alias("level"))
+    out = cut(cur.select(*keys, "node", F.col("level").cast("int").alias("level")))
+    state.release()
+    return out
 
 
 def skip_level_edges(edges: DataFrame, levels: DataFrame, keys: list[str], child: str = "child",

@@ -6,11 +6,12 @@ group, i.e. whose parent is a root of what is left. On distinct edges a group
 empties iff it is acyclic; the edges that stay are exactly those whose parent
 is on a cycle or leads up to one.
 
-Plan per round: the distinct (keys, child) set is aggregated map-side and
-shuffled on (keys, node); the edges are semi-joined against it on
-(keys, parent). Both sides are keyed by a *node*, not by the group, so one hot
-group spreads over all partitions; AQE broadcasts the node set while it is
-small (Spark checks the size at run time) and splits a hot parent otherwise.
+Plan per round: the edges are semi-joined on (keys, parent) against their own
+(keys, child) projection. Both sides are keyed by a *node*, not by the group,
+so one hot group spreads over all partitions; AQE broadcasts the probe side
+while it is small (Spark checks the size at run time) and splits a hot parent
+otherwise. Removed edges (for the levels) are the matching anti join,
+evaluated once at the end from the persisted rounds.
 
 Fault tolerance and plan size follow the Pregel pattern: every round is
 persisted (memory and disk) and every ``checkpoint_every`` rounds written to
@@ -42,8 +43,14 @@ class PeelDidNotConverge(RuntimeError):
 class PeelResult:
     residue: DataFrame          # edges left: parent on or above a cycle
     removed: DataFrame | None   # removed edges with their ``round`` (1-based), if tracked
-    rounds: int                 # rounds that removed at least one edge
+    rounds: int                 # layers applied (>= the longest path of an acyclic group)
     source: DataFrame           # the materialised input edges (nulls dropped)
+    held: list                  # persisted frames; release once the caller has cut its result
+
+    def release(self) -> None:
+        for df in self.held:
+            df.unpersist(blocking=False)
+        self.held = []
 
 
 class _Rounds:
@@ -74,7 +81,14 @@ class _Rounds:
 
 def peel(edges: DataFrame, keys: list[str], child: str = "child", parent: str = "parent",
          track_rounds: bool = False, max_rounds: int = 100_000,
-         checkpoint_every: int = 4) -> PeelResult:
+         checkpoint_every: int = 2, layers_per_job: int = 2) -> PeelResult:
+    """Peel every group of ``edges`` at once.
+
+    ``layers_per_job`` layers are chained lazily and run as one Spark job with
+    one count, which divides the per-job overhead; the result is the same
+    because the peel only removes (a job that removed nothing is stable).
+    ``rounds`` counts the layers applied, an upper bound of the longest path.
+    """
     cols = [*keys, child, parent]
     rounds_state = _Rounds(checkpoint_every, keep_all=track_rounds)
     source = (edges.select(*cols).filter(F.col(child).isNotNull() & F.col(parent).isNotNull())
@@ -86,33 +100,35 @@ def peel(edges: DataFrame, keys: list[str], child: str = "child", parent: str =
     while n > 0:
         if rounds >= max_rounds:
             raise PeelDidNotConverge(f"{n} edges still falling after {max_rounds} rounds")
-        live = cur.select(*keys, F.col(child).alias(parent)).distinct()
-        if track_rounds:
-            flagged = rounds_state.materialise(
-                cur.join(live.withColumn("_live", F.lit(True)), [*keys, parent], "left")
-                .select(*cols, "_live"))
-            nxt = flagged.filter(F.col("_live").isNotNull()).drop("_live")
-            m = nxt.count()
-            if m < n:
-                removed.append(flagged.filter(F.col("_live").isNull()).select(
-                    *cols, F.lit(rounds + 1).alias("round")))
-        else:
-            nxt = rounds_state.materialise(cur.join(live, [*keys, parent], "left_semi").select(*cols))
-            m = nxt.count()
+        layer = cur
+        parts = []
+        for i in range(max(1, layers_per_job)):
+            # Nodes that still have an outgoing edge. No distinct: the semi
+            # join only probes it, and an aggregation would cost a stage.
+            live = layer.select(*keys, F.col(child).alias(parent))
+            if track_rounds:
+                parts.append(layer.join(live, [*keys, parent], "left_anti")
+                             .withColumn("round", F.lit(rounds + i + 1)))
+            layer = layer.join(live, [*keys, parent], "left_semi")
+        nxt = rounds_state.materialise(layer)
+        m = nxt.count()
         if m == n:
             break
+        removed.extend(parts)
         cur, n = nxt, m
-        rounds += 1
+        rounds += len(parts) if track_rounds else max(1, layers_per_job)
     if track_rounds:
-        removed_df = cur.limit(0).withColumn("round", F.lit(0))
+        removed_df = source.limit(0).withColumn("round", F.lit(0))
         for part in removed:
             removed_df = removed_df.unionByName(part)
         # One reliable write for all rounds, then the per-round frames can go.
         removed_df = cut(removed_df)
         cur = cut(cur)
         rounds_state.release()
-        return PeelResult(residue=cur, removed=removed_df, rounds=rounds, source=source)
-    return PeelResult(residue=cur, removed=None, rounds=rounds, source=source)
+        return PeelResult(residue=cur, removed=removed_df, rounds=rounds, source=source,
+                          held=[source])
+    return PeelResult(residue=cur, removed=None, rounds=rounds, source=source,
+                      held=[source, *rounds_state.held])
 
 
 def validity(edges: DataFrame, keys: list[str], groups: DataFrame | None = None,
@@ -136,18 +152,24 @@ def validity(edges: DataFrame, keys: list[str], groups: DataFrame | None = None,
     )
     reason = (F.when(F.col("n_edges") == 0, F.lit(None if empty_is_valid else "EMPTY"))
               .when(F.col("n_residue") > 0, F.lit("CYCLE")))
-    return out.withColumn("reason", reason.cast("string")).withColumn("valid", F.col("reason").isNull())
+    out = cut(out.withColumn("reason", reason.cast("string")).withColumn("valid", F.col("reason").isNull()))
+    result.release()
+    return out
 
 
 def valid_groups(edges: DataFrame, keys: list[str], child: str = "child",
                  parent: str = "parent") -> DataFrame:
     """Edges (all columns) of the groups that pass the check (D3)."""
     result = peel(edges, keys, child, parent)
-    bad = result.residue.select(*keys).distinct()
+    bad = cut(result.residue.select(*keys).distinct())
+    result.release()
     return edges.join(bad, keys, "left_anti")
 
 
 def cycle_residue(edges: DataFrame, keys: list[str], child: str = "child",
                   parent: str = "parent") -> DataFrame:
     """The edges the peel cannot remove."""
-    return peel(edges, keys, child, parent).residue
+    result = peel(edges, keys, child, parent)
+    out = cut(result.residue)
+    result.release()
+    return out

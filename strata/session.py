@@ -49,6 +49,36 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+class Scope:
+    """Frames persisted while an operator runs, released when its result is cut.
+
+    Operators return results that depend only on checkpoint files, so the
+    memory and disk held by their intermediate rounds can be freed at once."""
+
+    def __init__(self) -> None:
+        self.frames: list[DataFrame] = []
+
+    def persist(self, df: DataFrame) -> DataFrame:
+        from pyspark import StorageLevel
+        out = df.persist(StorageLevel.MEMORY_AND_DISK)
+        self.frames.append(out)
+        return out
+
+    def adopt(self, frames) -> None:
+        self.frames.extend(frames)
+
+    def finish(self, result: DataFrame) -> DataFrame:
+        """Checkpoint ``result``, then release everything held."""
+        out = cut(result)
+        self.release()
+        return out
+
+    def release(self) -> None:
+        for df in self.frames:
+            df.unpersist(blocking=False)
+        self.frames = []
+
+
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "strata") -> SparkSession:
     """Session for tests and the bench: local master, AQE on, no UI."""
