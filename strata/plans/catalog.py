@@ -421,3 +421,28 @@ def level_profile(spark, sf_dir):
 def level_slots(spark, sf_dir):
     """T4: slot of each node within its level."""
     return LV.level_slots(_levels(spark, sf_dir), DIM)
+
+
+# -- sinks (X1-X3), rows-only checks -------------------------------------------------
+
+from strata.sinks import export as SK  # noqa: E402
+
+
+@query
+def dim_report_json(spark, sf_dir):
+    """The dimension report as one JSON object per dimension."""
+    e = FX.dim_edges(spark, sf_dir)
+    report = P.validity(e, DIM)
+    return SK.dimension_report_json(report, e, e.select(*DIM, "tenant_id"))
+
+
+@query
+def element_edges_csv(spark, sf_dir):
+    """Element edges of the calendars as CSV lines."""
+    return SK.csv_lines(hier_elements(spark, sf_dir))
+
+
+@query
+def element_payloads(spark, sf_dir):
+    """One JSON payload per (hierarchy, tenant) of the calendars."""
+    return SK.hierarchy_payloads(hier_elements(spark, sf_dir), FX.calendar_hierarchies(spark))
