@@ -43,9 +43,12 @@ def _from_lines(lines: DataFrame, schema: str, column: str) -> DataFrame:
 
 # -- dimensions -------------------------------------------------------------
 
-def parse_dimension_rows(raw: DataFrame) -> DataFrame:
-    """S1 on raw string columns: tenant list to ``array<int>``, parents to ``array<string>``."""
+def parse_dimension_rows(raw: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """S1 on raw string columns: tenant list to ``array<int>``, parents to ``array<string>``.
+
+    ``carry`` names extra columns kept as they are (for instance the upload file)."""
     return raw.select(
+        *carry,
         split_ints(F.col("tenant_id")).alias("tenant_id"),
         F.trim("dimension_id").alias("dimension_id"),
         F.trim("dimension_level").alias("dimension_level"),
@@ -63,9 +66,9 @@ def parse_dimension_lines(lines: DataFrame, column: str = "line") -> DataFrame:
     return parse_dimension_rows(_from_lines(lines, DIM_RAW, column))
 
 
-def explode_parents(config: DataFrame) -> DataFrame:
+def explode_parents(config: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """One row per (level, parent); a level without parents has no row."""
-    return config.select("tenant_id", "dimension_id", "dimension_level",
+    return config.select(*carry, "tenant_id", "dimension_id", "dimension_level",
                          F.explode("parents_level").alias("parent_level"))
 
 
@@ -74,17 +77,17 @@ def explode_tenants(df: DataFrame) -> DataFrame:
     return df.withColumn("tenant_id", F.explode("tenant_id"))
 
 
-def config_edges(config: DataFrame) -> DataFrame:
+def config_edges(config: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """Dimension configuration -> distinct edges ``tenant_id, dimension_id, child, parent``."""
-    e = explode_tenants(explode_parents(config))
-    return e.select("tenant_id", "dimension_id", F.col("dimension_level").alias("child"),
+    e = explode_tenants(explode_parents(config, carry))
+    return e.select(*carry, "tenant_id", "dimension_id", F.col("dimension_level").alias("child"),
                     F.col("parent_level").alias("parent")).distinct()
 
 
-def declared_levels(config: DataFrame) -> DataFrame:
+def declared_levels(config: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """Every (dimension, level) named in the configuration, as child or parent."""
-    own = config.select("dimension_id", F.col("dimension_level").alias("level"))
-    parents = config.select("dimension_id", F.explode("parents_level").alias("level"))
+    own = config.select(*carry, "dimension_id", F.col("dimension_level").alias("level"))
+    parents = config.select(*carry, "dimension_id", F.explode("parents_level").alias("level"))
     return own.unionByName(parents).filter(F.col("level").isNotNull()).distinct()
 
 
