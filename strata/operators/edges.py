@@ -91,14 +91,14 @@ def path_maps(path_edges: DataFrame, keys: list[str], child: str = "from_level",
 def root_edges(edges: DataFrame, keys: list[str], child: str = "child",
                parent: str = "parent") -> DataFrame:
     """Edges whose parent is no child in its group (anti join on the node)."""
-    children = edges.select(*keys, F.col(child).alias(parent))
+    children = edges.select(*keys, F.col(child).alias(parent)).distinct()
     return edges.join(children, [*keys, parent], "left_anti")
 
 
 def edges_minus_roots(edges: DataFrame, keys: list[str], child: str = "child",
                       parent: str = "parent") -> DataFrame:
     """``edges MINUS root_edges`` = distinct edges whose parent is a child."""
-    children = edges.select(*keys, F.col(child).alias(parent))
+    children = edges.select(*keys, F.col(child).alias(parent)).distinct()
     return edges.join(children, [*keys, parent], "left_semi").distinct()
 
 

@@ -84,6 +84,7 @@ def validate(hier: DataFrame, dim_edges: DataFrame, keys: list[str] = HIER_KEYS,
     ``require_valid_dimension=False`` checks against unvalidated dimensions,
     as the reference's file form does."""
     scope = Scope()
+    dim_edges = scope.persist(dim_edges.select("dimension_id", "child", "parent"))
     pe = scope.persist(path_edges(hier, keys))
     groups = hierarchy_groups(pe, keys)
     stats = path_stats(pe, keys)

@@ -6,11 +6,12 @@ group, i.e. whose parent is a root of what is left. On distinct edges a group
 empties iff it is acyclic; the edges that stay are exactly those whose parent
 is on a cycle or leads up to one.
 
-Plan per round: the edges are semi-joined on (keys, parent) against their own
-(keys, child) projection. Both sides are keyed by a *node*, not by the group,
-so one hot group spreads over all partitions; AQE broadcasts the probe side
-while it is small (Spark checks the size at run time) and splits a hot parent
-otherwise. Removed edges (for the levels) are the matching anti join,
+Plan per round: the edges are semi-joined on (keys, parent) against the
+distinct (keys, child) set, aggregated map-side first. Both sides are keyed by
+a *node*, not by the group, so one hot group spreads over all partitions; AQE
+broadcasts the probe side while it is small (Spark checks the size at run
+time) and otherwise splits a hot parent on the streamed side, while a hot
+child collapses in the partial aggregation. Removed edges (for the levels) are the matching anti join,
 evaluated once at the end from the persisted rounds.
 
 Fault tolerance and plan size follow the Pregel pattern: every round is
@@ -103,9 +104,11 @@ def peel(edges: DataFrame, keys: list[str], child: str = "child", parent: str =
         layer = cur
         parts = []
         for i in range(max(1, layers_per_job)):
-            # Nodes that still have an outgoing edge. No distinct: the semi
-            # join only probes it, and an aggregation would cost a stage.
-            live = layer.select(*keys, F.col(child).alias(parent))
+            # Nodes that still have an outgoing edge. The distinct is partial
+            # (map-side) first: a node with a huge out-degree collapses before
+            # the shuffle, so the probe side of the semi join is never skewed
+            # (AQE can split only the streamed side of a semi join).
+            live = layer.select(*keys, F.col(child).alias(parent)).distinct()
             if track_rounds:
                 parts.append(layer.join(live, [*keys, parent], "left_anti")
                              .withColumn("round", F.lit(rounds + i + 1)))
