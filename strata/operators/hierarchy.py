@@ -71,6 +71,17 @@ def single_parent(hier: DataFrame, keys: list[str] = HIER_KEYS) -> DataFrame:
     return s.select(*keys, "max_out", (F.col("max_out") <= 1).alias("single_parent"))
 
 
+def json_single_parent(bodies: DataFrame, keys: list[str] = HIER_KEYS, body: str = "body") -> DataFrame:
+    """H3 over ad-hoc JSON hierarchies ``{"from": ["to", ...]}``, answered as the route does."""
+    from strata.sources.config import parse_dimension_json
+    pe = parse_dimension_json(bodies, body, tuple(keys)).withColumnsRenamed({"child": FROM, "parent": TO})
+    out = pe.groupBy(*keys, FROM).agg(F.count(F.lit(1)).alias("n_to"))
+    ok = out.groupBy(*keys).agg((F.max("n_to") <= 1).alias("single_parent"))
+    ok = bodies.select(*keys).join(ok, keys, "left").fillna(True, ["single_parent"])
+    return ok.withColumn("answer", F.concat(F.lit("Got the hierarchy and it is "),
+                                            F.when(F.col("single_parent"), "true").otherwise("false")))
+
+
 def dimension_status(dim_edges: DataFrame) -> DataFrame:
     """``dimension_id, dimension_valid`` for every dimension that has edges."""
     v = P.validity(dim_edges, ["dimension_id"])

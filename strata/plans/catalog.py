@@ -224,6 +224,12 @@ def single_parent(spark, sf_dir):
     return H.single_parent(_hier(spark, sf_dir))
 
 
+@query
+def hier_json_single_parent(spark, sf_dir):
+    """H3 (JSON route): every level of an ad-hoc hierarchy body has one target."""
+    return H.json_single_parent(FX.hier_json(spark, sf_dir))
+
+
 @query
 def path_edges_exist(spark, sf_dir):
     """H1: every path edge is an edge of the (unvalidated) dimension."""

@@ -203,6 +203,11 @@ SELECT {HK_COLS}, count(*) AS n_edges, count(*) FILTER (WHERE NOT in_dimension)
 SINGLE_PARENT = f"""WITH {PATH_EDGES}
 SELECT {HK_COLS}, max_out, max_out <= 1 AS single_parent FROM grp JOIN st USING (hk)"""
 
+HIER_JSON_SINGLE_PARENT = f"""WITH {PATH_EDGES}
+SELECT {HK_COLS}, max_out <= 1 AS single_parent,
+  'Got the hierarchy and it is ' || CASE WHEN max_out <= 1 THEN 'true' ELSE 'false' END AS answer
+FROM grp JOIN st USING (hk)"""
+
 PATH_START_END = f"""WITH {PATH_EDGES}
 SELECT {HK_COLS}, node AS level, CASE WHEN idg = 0 THEN 'start' ELSE 'end' END AS role
 FROM grp JOIN deg USING (hk) WHERE idg = 0 OR od = 0"""
@@ -457,6 +462,7 @@ ORACLES: dict[str, str] = {
     "hier_path": HIER_PATH,
     "path_start_end": PATH_START_END,
     "single_parent": SINGLE_PARENT,
+    "hier_json_single_parent": HIER_JSON_SINGLE_PARENT,
     "path_edges_exist": PATH_EDGES_EXIST,
     "hier_validity": HIER_VALIDITY,
     "valid_hierarchies": VALID_HIERARCHIES,

@@ -163,3 +163,13 @@ def dim_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adj.groupBy("dimension_id").agg(
         F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("child", "parents"))))).alias("body")
     )
+
+
+def hier_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON body per hierarchy, ``{"from": ["to", ...], ...}``: the ad-hoc
+    hierarchy format (a level may list several targets, which the check rejects)."""
+    h = hier_edges(spark, sf_dir)
+    keys = ["tenant_id", "dimension_id", "hierarchy_id", "hierarchy_name"]
+    adj = h.groupBy(*keys, "from_level").agg(F.array_sort(F.collect_set("to_level")).alias("to"))
+    return adj.groupBy(*keys).agg(
+        F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("from_level", "to"))))).alias("body"))
