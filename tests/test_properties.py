@@ -114,3 +114,24 @@ def test_row_number_with_a_hot_group(spark):
     got = row_number_by(df, ["g"], ["k"], partitions=6)
     exp = df.withColumn("row_number", F.row_number().over(Window.partitionBy("g").orderBy("k")))
     assert sorted(got.collect()) == sorted(r for r in exp.select("g", "k", F.col("row_number").cast("bigint")).collect())
+
+
+def test_hot_group_and_hot_parent(spark):
+    """One dimension with most of the edges, one parent with thousands of children."""
+    hot = [("hot", f"c{i}", "root") for i in range(4000)] + [("hot", "root", "top")]
+    chain = [("hot", f"x{i}", f"x{i + 1}") for i in range(30)]
+    cyc = [("hot2", f"c{i}", "r") for i in range(2000)] + [("hot2", "r", "s"), ("hot2", "s", "r")]
+    small = [(f"g{i}", "a", "b") for i in range(100)]
+    df = spark.createDataFrame(hot + chain + cyc + small, SCHEMA).repartition(8)
+    got = {r.dimension_id: (r.valid, r.n_residue) for r in P.validity(df, ["dimension_id"]).collect()}
+    assert got["hot"] == (True, 0)
+    assert got["hot2"] == (False, 2002)
+    assert all(got[f"g{i}"] == (True, 0) for i in range(100))
+
+
+def test_long_chain_is_not_called_a_cycle(spark):
+    import pytest
+    chain = spark.createDataFrame([("g", f"n{i}", f"n{i + 1}") for i in range(12)], SCHEMA)
+    with pytest.raises(P.PeelDidNotConverge):
+        P.peel(chain, ["dimension_id"], max_rounds=4)
+    assert P.peel(chain, ["dimension_id"]).residue.count() == 0
