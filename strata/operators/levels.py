@@ -27,11 +27,11 @@ from strata.session import cut
 def node_levels(edges: DataFrame, keys: list[str], child: str = "child",
                 parent: str = "parent") -> tuple[DataFrame, DataFrame]:
     """``keys, node, level`` for acyclic groups; also returns their edges."""
-    res = P.peel(edges, keys, child, parent, track_rounds=True)
+    res = P.peel(edges, keys, child, parent, track_nodes=True)
     bad = res.residue.select(*keys).distinct()
     good_edges = cut(res.source.join(bad, keys, "left_anti"))
-    removed = res.removed.join(bad, keys, "left_anti")
-    deepest = removed.groupBy(*keys, F.col(child).alias("node")).agg(F.max("round").alias("level"))
+    deepest = res.node_rounds.join(bad, keys, "left_anti").select(
+        *keys, "node", F.col("round").alias("level"))
     nodes = E.node_set(good_edges, keys, child, parent)
     levels = cut(nodes.join(deepest, [*keys, "node"], "left").select(
         *keys, "node", F.coalesce("level", F.lit(0)).cast("int").alias("level")))

@@ -44,6 +44,7 @@ class PeelDidNotConverge(RuntimeError):
 class PeelResult:
     residue: DataFrame          # edges left: parent on or above a cycle
     removed: DataFrame | None   # removed edges with their ``round`` (1-based), if tracked
+    node_rounds: DataFrame | None  # ``keys, node, round``: last round a node had an outgoing edge
     rounds: int                 # layers applied (>= the longest path of an acyclic group)
     source: DataFrame           # the materialised input edges (nulls dropped)
     held: list                  # persisted frames; release once the caller has cut its result
@@ -82,13 +83,21 @@ class _Rounds:
 
 def peel(edges: DataFrame, keys: list[str], child: str = "child", parent: str = "parent",
          track_rounds: bool = False, max_rounds: int = 100_000,
-         checkpoint_every: int = 2, layers_per_job: int = 2) -> PeelResult:
+         checkpoint_every: int = 2, layers_per_job: int = 2,
+         track_nodes: bool = False) -> PeelResult:
     """Peel every group of ``edges`` at once.
 
     ``layers_per_job`` layers are chained lazily and run as one Spark job with
     one count, which divides the per-job overhead; the result is the same
     because the peel only removes (a job that removed nothing is stable).
     ``rounds`` counts the layers applied, an upper bound of the longest path.
+
+    ``track_rounds`` keeps the round in which each edge is removed (one anti
+    join per round). ``track_nodes`` keeps only, per node, the last round in
+    which it still had an outgoing edge: the live sets of the rounds shrink,
+    so that round is the number of live sets holding the node, which is the
+    longest path up to a root (T1). It costs no extra join: the live set of
+    each round is built for the semi join anyway and only kept.
     """
     cols = [*keys, child, parent]
     rounds_state = _Rounds(checkpoint_every, keep_all=track_rounds)
@@ -97,18 +106,23 @@ def peel(edges: DataFrame, keys: list[str], child: str = "child", parent: str =
     cur = source
     n = cur.count()
     removed: list[DataFrame] = []
+    live_sets: list[DataFrame] = []
     rounds = 0
     while n > 0:
         if rounds >= max_rounds:
             raise PeelDidNotConverge(f"{n} edges still falling after {max_rounds} rounds")
         layer = cur
         parts = []
+        lives = []
         for i in range(max(1, layers_per_job)):
             # Nodes that still have an outgoing edge. The distinct is partial
             # (map-side) first: a node with a huge out-degree collapses before
             # the shuffle, so the probe side of the semi join is never skewed
             # (AQE can split only the streamed side of a semi join).
             live = layer.select(*keys, F.col(child).alias(parent)).distinct()
+            if track_nodes:
+                live = live.persist(StorageLevel.MEMORY_AND_DISK)
+                lives.append((live, rounds + i + 1))
             if track_rounds:
                 parts.append(layer.join(live, [*keys, parent], "left_anti")
                              .withColumn("round", F.lit(rounds + i + 1)))
@@ -116,10 +130,22 @@ def peel(edges: DataFrame, keys: list[str], child: str = "child", parent: str =
         nxt = rounds_state.materialise(layer)
         m = nxt.count()
         if m == n:
+            for live, _ in lives:
+                live.unpersist(blocking=False)
             break
         removed.extend(parts)
+        live_sets.extend(lives)
         cur, n = nxt, m
-        rounds += len(parts) if track_rounds else max(1, layers_per_job)
+        rounds += max(1, layers_per_job)
+    node_rounds = None
+    if track_nodes:
+        tagged = source.limit(0).select(*keys, F.col(child).alias("node"), F.lit(0).alias("round"))
+        for live, r in live_sets:
+            tagged = tagged.unionByName(live.select(*keys, F.col(parent).alias("node"),
+                                                    F.lit(r).alias("round")))
+        node_rounds = cut(tagged.groupBy(*keys, "node").agg(F.max("round").alias("round")))
+        for live, _ in live_sets:
+            live.unpersist(blocking=False)
     if track_rounds:
         removed_df = source.limit(0).withColumn("round", F.lit(0))
         for part in removed:
@@ -128,10 +154,10 @@ def peel(edges: DataFrame, keys: list[str], child: str = "child", parent: str =
         removed_df = cut(removed_df)
         cur = cut(cur)
         rounds_state.release()
-        return PeelResult(residue=cur, removed=removed_df, rounds=rounds, source=source,
-                          held=[source])
-    return PeelResult(residue=cur, removed=None, rounds=rounds, source=source,
-                      held=[source, *rounds_state.held])
+        return PeelResult(residue=cur, removed=removed_df, node_rounds=node_rounds, rounds=rounds,
+                          source=source, held=[source])
+    return PeelResult(residue=cur, removed=None, node_rounds=node_rounds, rounds=rounds,
+                      source=source, held=[source, *rounds_state.held])
 
 
 def validity(edges: DataFrame, keys: list[str], groups: DataFrame | None = None,
