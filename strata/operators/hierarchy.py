@@ -7,9 +7,10 @@ with a driver-side map of all dimensions, the walk is restated as a rule on
 distinct edges (the chain rule): out-degree <= 1, in-degree <= 1, exactly one
 start, no cycle, every edge in the dimension. The degrees come from one
 shuffle keyed by (hierarchy, level); membership from one equi-join keyed by
-(dimension, child, parent); cycles from the peel. No group is ever gathered in
-one task and a bad hierarchy yields a row with a reason instead of an
-exception.
+(dimension, child, parent); cycles from pointer jumping, which applies because
+only paths with out-degree <= 1 reach that test and which needs log2 of the
+path length in rounds. No group is ever gathered in one task and a bad
+hierarchy yields a row with a reason instead of an exception.
 
 Reasons, first match wins (fixed values): EMPTY, UNKNOWN_DIMENSION,
 INVALID_DIMENSION, MULTI_PARENT, CYCLE, NOT_A_CHAIN, EDGE_NOT_IN_DIMENSION.
@@ -21,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators import edges as E
+from strata.operators import jump as J
 from strata.operators import peel as P
 from strata.session import Scope, cut
 
@@ -105,14 +107,14 @@ def validate(hier: DataFrame, dim_edges: DataFrame, keys: list[str] = HIER_KEYS,
     base = (groups.join(stats, keys, "left").join(missing, keys, "left")
             .join(dims, ["dimension_id"], "left"))
     base = scope.persist(base)
-    # Only hierarchies that reach the cycle test need the peel.
+    # Only hierarchies that reach the cycle test are jumped; they have
+    # out-degree <= 1, which pointer jumping requires.
     undecided = base.filter(
         (F.col("n_edges") > 0) & F.col("dimension_valid").isNotNull()
         & (F.col("dimension_valid") | F.lit(not require_valid_dimension))
         & (F.col("max_out") <= 1)).select(*keys)
-    peeled = P.peel(pe.join(undecided, keys, "left_semi"), keys, FROM, TO)
-    scope.adopt(peeled.held)
-    cyclic = peeled.residue.select(*keys).distinct().withColumn("cyclic", F.lit(True))
+    jumped = J.jump(pe.join(undecided, keys, "left_semi"), keys, FROM, TO)
+    cyclic = jumped.cyclic_groups(keys).withColumn("cyclic", F.lit(True))
     full = base.join(cyclic, keys, "left")
     reason = (
         F.when(F.coalesce(F.col("n_edges"), F.lit(0)) == 0, "EMPTY")
@@ -137,9 +139,10 @@ def valid_hierarchies(hier: DataFrame, dim_edges: DataFrame, keys: list[str] = H
 def invert_path(valid_pe: DataFrame, keys: list[str] = HIER_KEYS) -> DataFrame:
     """H6: parent -> child, root first. ``step`` 1 is the edge at the top.
 
-    The order is the peel round in which the edge is removed: on a chain the
-    top edge goes first."""
-    res = P.peel(valid_pe, keys, FROM, TO, track_rounds=True)
-    res.release()
-    return res.removed.select(*keys, F.col(TO).alias("parent_level"), F.col(FROM).alias("child_level"),
-                    F.col("round").alias("step"))
+    ``valid_pe`` holds chains (each level has one parent), so the step of an
+    edge is the distance of its child level from the top, by pointer jumping
+    (list ranking) in log2(path length) rounds."""
+    depth = J.jump(valid_pe, keys, FROM, TO).depths(keys)
+    return valid_pe.join(depth.withColumnRenamed("node", FROM), [*keys, FROM]).select(
+        *keys, F.col(TO).alias("parent_level"), F.col(FROM).alias("child_level"),
+        F.col("depth").cast("int").alias("step"))
