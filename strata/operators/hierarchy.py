@@ -97,8 +97,11 @@ def validate(hier: DataFrame, dim_edges: DataFrame, keys: list[str] = HIER_KEYS,
     ``require_valid_dimension=False`` checks against unvalidated dimensions,
     as the reference's file form does."""
     scope = Scope()
-    dim_edges = scope.persist(dim_edges.select("dimension_id", "child", "parent"))
     pe = scope.persist(path_edges(hier, keys))
+    # Only dimensions some hierarchy names are peeled and joined.
+    named = pe.select("dimension_id").distinct()
+    dim_edges = scope.persist(dim_edges.select("dimension_id", "child", "parent")
+                              .join(named, "dimension_id", "left_semi"))
     groups = hierarchy_groups(pe, keys)
     stats = path_stats(pe, keys)
     missing = edge_membership(pe, dim_edges, keys).groupBy(*keys).agg(
