@@ -38,9 +38,13 @@ def csv_lines(df: DataFrame, columns: list[str] = ELEMENT_EDGE_COLUMNS) -> DataF
 
 
 def hierarchy_payloads(element_edges: DataFrame, path_edges: DataFrame,
-                       bound: int = 1_000_000) -> DataFrame:
+                       bound: int = 100_000) -> DataFrame:
     """``hierarchy_id, tenant_id, payload`` - per (hierarchy, tenant) one
-    JSON object with the hierarchy ``path`` and the array of its element edges."""
+    JSON object with the hierarchy ``path`` and the array of its element edges.
+
+    A payload is one row built in one task, so the largest group is checked
+    first against ``bound`` (100,000 edges, some 20 MB of JSON); above it use
+    ``write_partitioned``, one folder per tenant and hierarchy."""
     group = ["hierarchy_id", "tenant_id"]
     E.require_group_bound(element_edges, group, bound)
     paths = E.path_maps(path_edges, HIER_KEYS, FROM, TO, bound=bound)
