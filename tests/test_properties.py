@@ -165,3 +165,16 @@ def test_pointer_jumping_matches_brute_force(spark):
             exp = {v: d for v, d in longest_to_root(es).items() if d > 0}
             assert {v: depth[(g, v)] for v in exp} == exp, g
     assert res.rounds <= 11  # log2(300) + 2, where the peel needs 300
+
+
+def test_pointer_jumping_with_a_hot_pointer(spark):
+    """Thousands of levels under one node, above it a chain; one group also has a cycle."""
+    from strata.operators import jump as J
+    hot = [("hot", f"c{i}", "x0") for i in range(4000)] + [("hot", f"x{i}", f"x{i + 1}") for i in range(20)]
+    cyc = [("cyc", f"c{i}", "r") for i in range(1000)] + [("cyc", "r", "s"), ("cyc", "s", "r")]
+    df = spark.createDataFrame(hot + cyc, SCHEMA).repartition(8)
+    res = J.jump(df, ["dimension_id"])
+    assert [r.dimension_id for r in res.cyclic_groups(["dimension_id"]).collect()] == ["cyc"]
+    depth = {r.node: r.depth for r in res.depths(["dimension_id"]).collect()}
+    assert all(depth[f"c{i}"] == 21 for i in range(4000))
+    assert depth["x19"] == 1 and depth["x0"] == 20
