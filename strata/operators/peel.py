@@ -11,8 +11,8 @@ distinct (keys, child) set, aggregated map-side first. Both sides are keyed by
 a *node*, not by the group, so one hot group spreads over all partitions; AQE
 broadcasts the probe side while it is small (Spark checks the size at run
 time) and otherwise splits a hot parent on the streamed side, while a hot
-child collapses in the partial aggregation. Removed edges (for the levels) are the matching anti join,
-evaluated once at the end from the persisted rounds.
+child collapses in the partial aggregation. For the levels, the live set of
+each round is kept and aggregated once at the end (``track_nodes``).
 
 Fault tolerance and plan size follow the Pregel pattern: every round is
 persisted (memory and disk) and every ``checkpoint_every`` rounds written to
@@ -43,7 +43,6 @@ class PeelDidNotConverge(RuntimeError):
 @dataclass
 class PeelResult:
     residue: DataFrame          # edges left: parent on or above a cycle
-    removed: DataFrame | None   # removed edges with their ``round`` (1-based), if tracked
     node_rounds: DataFrame | None  # ``keys, node, round``: last round a node had an outgoing edge
     rounds: int                 # layers applied (>= the longest path of an acyclic group)
     source: DataFrame           # the materialised input edges (nulls dropped)
@@ -82,8 +81,7 @@ class _Rounds:
 
 
 def peel(edges: DataFrame, keys: list[str], child: str = "child", parent: str = "parent",
-         track_rounds: bool = False, max_rounds: int = 100_000,
-         checkpoint_every: int = 2, layers_per_job: int = 2,
+         max_rounds: int = 100_000, checkpoint_every: int = 2, layers_per_job: int = 2,
          track_nodes: bool = False) -> PeelResult:
     """Peel every group of ``edges`` at once.
 
@@ -92,27 +90,24 @@ def peel(edges: DataFrame, keys: list[str], child: str = "child", parent: str =
     because the peel only removes (a job that removed nothing is stable).
     ``rounds`` counts the layers applied, an upper bound of the longest path.
 
-    ``track_rounds`` keeps the round in which each edge is removed (one anti
-    join per round). ``track_nodes`` keeps only, per node, the last round in
-    which it still had an outgoing edge: the live sets of the rounds shrink,
+    ``track_nodes`` keeps, per node, the last round in which it still had an
+    outgoing edge: the live sets of the rounds shrink,
     so that round is the number of live sets holding the node, which is the
     longest path up to a root (T1). It costs no extra join: the live set of
     each round is built for the semi join anyway and only kept.
     """
     cols = [*keys, child, parent]
-    rounds_state = _Rounds(checkpoint_every, keep_all=track_rounds)
+    rounds_state = _Rounds(checkpoint_every)
     source = (edges.select(*cols).filter(F.col(child).isNotNull() & F.col(parent).isNotNull())
               .persist(StorageLevel.MEMORY_AND_DISK))
     cur = source
     n = cur.count()
-    removed: list[DataFrame] = []
     live_sets: list[DataFrame] = []
     rounds = 0
     while n > 0:
         if rounds >= max_rounds:
             raise PeelDidNotConverge(f"{n} edges still falling after {max_rounds} rounds")
         layer = cur
-        parts = []
         lives = []
         for i in range(max(1, layers_per_job)):
             # Nodes that still have an outgoing edge. The distinct is partial
@@ -123,9 +118,6 @@ def peel(edges: DataFrame, keys: list[str], child: str = "child", parent: str =
             if track_nodes:
                 live = live.persist(StorageLevel.MEMORY_AND_DISK)
                 lives.append((live, rounds + i + 1))
-            if track_rounds:
-                parts.append(layer.join(live, [*keys, parent], "left_anti")
-                             .withColumn("round", F.lit(rounds + i + 1)))
             layer = layer.join(live, [*keys, parent], "left_semi")
         nxt = rounds_state.materialise(layer)
         m = nxt.count()
@@ -133,7 +125,6 @@ def peel(edges: DataFrame, keys: list[str], child: str = "child", parent: str =
             for live, _ in lives:
                 live.unpersist(blocking=False)
             break
-        removed.extend(parts)
         live_sets.extend(lives)
         cur, n = nxt, m
         rounds += max(1, layers_per_job)
@@ -146,18 +137,8 @@ def peel(edges: DataFrame, keys: list[str], child: str = "child", parent: str =
         node_rounds = cut(tagged.groupBy(*keys, "node").agg(F.max("round").alias("round")))
         for live, _ in live_sets:
             live.unpersist(blocking=False)
-    if track_rounds:
-        removed_df = source.limit(0).withColumn("round", F.lit(0))
-        for part in removed:
-            removed_df = removed_df.unionByName(part)
-        # One reliable write for all rounds, then the per-round frames can go.
-        removed_df = cut(removed_df)
-        cur = cut(cur)
-        rounds_state.release()
-        return PeelResult(residue=cur, removed=removed_df, node_rounds=node_rounds, rounds=rounds,
-                          source=source, held=[source])
-    return PeelResult(residue=cur, removed=None, node_rounds=node_rounds, rounds=rounds,
-                      source=source, held=[source, *rounds_state.held])
+    return PeelResult(residue=cur, node_rounds=node_rounds, rounds=rounds, source=source,
+                      held=[source, *rounds_state.held])
 
 
 def validity(edges: DataFrame, keys: list[str], groups: DataFrame | None = None,

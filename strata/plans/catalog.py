@@ -64,7 +64,7 @@ def valid_dimensions(spark, sf_dir):
 def cycle_residue(spark, sf_dir):
     """Edges whose parent is on a cycle or leads up to one."""
     e = FX.dim_edges(spark, sf_dir)
-    return P.peel(e, DIM, track_rounds=False).residue.join(e, [*DIM, "child", "parent"]).select(
+    return P.peel(e, DIM).residue.join(e, [*DIM, "child", "parent"]).select(
         "tenant_id", *DIM, "child", "parent")
 
 
