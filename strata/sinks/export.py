@@ -50,7 +50,8 @@ def hierarchy_payloads(element_edges: DataFrame, path_edges: DataFrame,
     paths = E.path_maps(path_edges, HIER_KEYS, FROM, TO, bound=bound)
     rows = element_edges.join(paths, HIER_KEYS, "left")
     agg = rows.groupBy(*group).agg(
-        F.first("path", ignorenulls=True).alias("path"),
+        # Deterministic: the path of the smallest (dimension, name) in the group.
+        F.min_by("path", F.concat_ws("|", "dimension_id", "hierarchy_name")).alias("path"),
         F.array_sort(F.collect_list(F.struct(*ELEMENT_EDGE_COLUMNS))).alias("elements"))
     return agg.select(*group, F.to_json(F.struct("path", "elements")).alias("payload"))
 
