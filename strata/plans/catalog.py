@@ -19,6 +19,7 @@ from strata.operators import peel as P
 from strata.sources import config as C
 from strata.sources import fixtures as FX
 from strata.sources.tables import table
+from strata.session import cut
 
 DIM = ["dimension_id"]
 TD = ["tenant_id", "dimension_id"]
@@ -170,7 +171,8 @@ def dim_of_tenant(spark, sf_dir):
 @query
 def dim_report(spark, sf_dir):
     """Per dimension of the configuration: tenants, levels, edges, validity."""
-    cfg = _dim_config(spark, sf_dir)
+    # Read four times below (edges, levels, tenants, level counts): parse once.
+    cfg = cut(_dim_config(spark, sf_dir))
     edges = C.config_edges(cfg)
     levels = C.declared_levels(cfg)
     v = P.validity(edges, DIM, groups=levels)
