@@ -26,9 +26,8 @@ from strata.functions import rules as R
 from strata.functions.draws import draw
 from strata.operators import edges as E
 from strata.operators.hierarchy import FROM, HIER_KEYS, TO
-from strata.operators.peel import _Rounds
 from strata.operators.sequence import row_number_by
-from strata.session import cut
+from strata.session import Rounds, cut
 
 # The element edge table, columns in this order.
 ELEMENT_EDGE_COLUMNS = [
@@ -75,7 +74,7 @@ def expand(valid_pe: DataFrame, roots: DataFrame | None = None, seed: int = 42,
     inv_side = broadcast_if_small(inv, broadcast_rows)
     if roots is None:
         roots = top_elements(valid_pe, seed, anchor, keys)
-    state = _Rounds(checkpoint_every, keep_all=True)
+    state = Rounds(checkpoint_every, keep_all=True)
     frontier = state.materialise(roots.select(*keys, "level", "element_id", "element_label").distinct())
     n = frontier.count()
     edge_parts: list[DataFrame] = []

@@ -27,8 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators.peel import _Rounds
-from strata.session import cut
+from strata.session import Rounds, cut
 
 
 @dataclass
@@ -52,7 +51,7 @@ def jump(edges: DataFrame, keys: list[str], child: str = "child", parent: str =
         *keys, F.col(child).alias("node"), F.col(parent).alias("root"),
         F.lit(1).cast("bigint").alias("dist"), F.lit(False).alias("done")).distinct()
     state = cut(state)
-    rounds_state = _Rounds(checkpoint_every)
+    rounds_state = Rounds(checkpoint_every)
     n = state.filter(~F.col("done")).count()
     rounds = 0
     while n > 0:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from strata.operators import edges as E
 from strata.operators import peel as P
 from strata.operators.sequence import row_number_by
-from strata.session import cut
+from strata.session import Rounds, cut
 
 
 def node_levels(edges: DataFrame, keys: list[str], child: str = "child",
@@ -49,7 +49,7 @@ def pushed_levels(edges: DataFrame, keys: list[str], child: str = "child",
         *keys, "node", F.col("level").alias("t1"), F.col("_p").isNull().alias("leaf"))
     base = cut(base)
     cur = base.select(*keys, "node", F.when(F.col("leaf"), F.col("t1")).alias("level"))
-    state = P._Rounds(checkpoint_every)
+    state = Rounds(checkpoint_every)
     for _ in range(depth):
         cand = (good.join(cur.withColumnRenamed("node", child), [*keys, child])
                 .filter(F.col("level").isNotNull())

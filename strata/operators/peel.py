@@ -30,7 +30,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.session import cut
+from strata.session import Rounds, cut
 
 
 class PeelDidNotConverge(RuntimeError):
@@ -54,32 +54,6 @@ class PeelResult:
         self.held = []
 
 
-class _Rounds:
-    """Persist each round, checkpoint every ``every`` rounds, release old ones."""
-
-    def __init__(self, every: int, keep_all: bool = False):
-        self.every = max(1, every)
-        self.keep_all = keep_all
-        self.held: list[DataFrame] = []
-        self.step = 0
-
-    def materialise(self, df: DataFrame) -> DataFrame:
-        self.step += 1
-        if self.step % self.every == 0:
-            out = cut(df)
-            if not self.keep_all:
-                self.release()
-        else:
-            out = df.persist(StorageLevel.MEMORY_AND_DISK)
-            self.held.append(out)
-        return out
-
-    def release(self) -> None:
-        for df in self.held:
-            df.unpersist()
-        self.held = []
-
-
 def peel(edges: DataFrame, keys: list[str], child: str = "child", parent: str = "parent",
          max_rounds: int = 100_000, checkpoint_every: int = 2, layers_per_job: int = 2,
          track_nodes: bool = False) -> PeelResult:
@@ -97,7 +71,7 @@ def peel(edges: DataFrame, keys: list[str], child: str = "child", parent: str =
     each round is built for the semi join anyway and only kept.
     """
     cols = [*keys, child, parent]
-    rounds_state = _Rounds(checkpoint_every)
+    rounds_state = Rounds(checkpoint_every)
     source = (edges.select(*cols).filter(F.col(child).isNotNull() & F.col(parent).isNotNull())
               .persist(StorageLevel.MEMORY_AND_DISK))
     cur = source

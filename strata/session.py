@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -59,7 +60,6 @@ class Scope:
         self.frames: list[DataFrame] = []
 
     def persist(self, df: DataFrame) -> DataFrame:
-        from pyspark import StorageLevel
         out = df.persist(StorageLevel.MEMORY_AND_DISK)
         self.frames.append(out)
         return out
@@ -79,6 +79,34 @@ class Scope:
         self.frames = []
 
 
+class Rounds:
+    """State of an iterative operator: persist each round, write every
+    ``every``-th round to the reliable checkpoint folder (cutting the lineage)
+    and release the rounds before it, unless ``keep_all``."""
+
+    def __init__(self, every: int, keep_all: bool = False):
+        self.every = max(1, every)
+        self.keep_all = keep_all
+        self.held: list[DataFrame] = []
+        self.step = 0
+
+    def materialise(self, df: DataFrame) -> DataFrame:
+        self.step += 1
+        if self.step % self.every == 0:
+            out = cut(df)
+            if not self.keep_all:
+                self.release()
+        else:
+            out = df.persist(StorageLevel.MEMORY_AND_DISK)
+            self.held.append(out)
+        return out
+
+    def release(self) -> None:
+        for df in self.held:
+            df.unpersist()
+        self.held = []
+
+
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "strata") -> SparkSession:
     """Session for tests and the bench: local master, AQE on, no UI."""
