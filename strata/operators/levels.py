@@ -41,21 +41,32 @@ def node_levels(edges: DataFrame, keys: list[str], child: str = "child",
 
 def pushed_levels(edges: DataFrame, keys: list[str], child: str = "child",
                   parent: str = "parent", checkpoint_every: int = 4) -> DataFrame:
-    """``keys, node, level`` after pushing nodes down towards their children."""
+    """``keys, node, level`` after pushing nodes down towards their children.
+
+    After r rounds a node holds the minimum over its downward paths of length
+    <= r, so a group is final after as many rounds as its own depth (max T1).
+    Round r therefore joins and aggregates only the edges of groups deeper
+    than r; the others are carried as they are. One deep dimension does not
+    make every shallow one shuffle again."""
     t1, good = node_levels(edges, keys, child, parent)
     depth = t1.agg(F.max("level")).first()[0] or 0
+    gdepth = t1.groupBy(*keys).agg(F.max("level").alias("_gd"))
     is_parent = good.select(*keys, F.col(parent).alias("node")).distinct().withColumn("_p", F.lit(True))
-    base = t1.join(is_parent, [*keys, "node"], "left").select(
-        *keys, "node", F.col("level").alias("t1"), F.col("_p").isNull().alias("leaf"))
+    base = t1.join(is_parent, [*keys, "node"], "left").join(gdepth, keys).select(
+        *keys, "node", F.col("level").alias("t1"), F.col("_p").isNull().alias("leaf"), "_gd")
     base = cut(base)
-    cur = base.select(*keys, "node", F.when(F.col("leaf"), F.col("t1")).alias("level"))
+    good = cut(good.select(*keys, child, parent).join(gdepth, keys))
+    cur = base.select(*keys, "node", "_gd", F.when(F.col("leaf"), F.col("t1")).alias("level"))
     state = Rounds(checkpoint_every)
-    for _ in range(depth):
-        cand = (good.join(cur.withColumnRenamed("node", child), [*keys, child])
+    for r in range(1, depth + 1):
+        live = F.col("_gd") >= r
+        cand = (good.filter(live).drop("_gd")
+                .join(cur.filter(live).select(*keys, F.col("node").alias(child), "level"), [*keys, child])
                 .filter(F.col("level").isNotNull())
                 .groupBy(*keys, F.col(parent).alias("node")).agg((F.min("level") - 1).alias("cand")))
-        cur = state.materialise(base.join(cand, [*keys, "node"], "left").select(
-            *keys, "node", F.when(F.col("leaf"), F.col("t1")).otherwise(F.col("cand")).alias("level")))
+        upd = base.filter(live).join(cand, [*keys, "node"], "left").select(
+            *keys, "node", "_gd", F.when(F.col("leaf"), F.col("t1")).otherwise(F.col("cand")).alias("level"))
+        cur = state.materialise(cur.filter(~live).unionByName(upd))
     out = cut(cur.select(*keys, "node", F.col("level").cast("int").alias("level")))
     state.release()
     return out
