@@ -177,7 +177,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     rows = map_rows(rows_of(docs).filter(F.octet_length("text") >= length), suffixes,
                     "doc_id bigint, rk bigint, packed bigint, gram bigint, whole bigint, size bigint", 32)
     # pass 1: grams that occur twice
-    twice = rows.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
+    # (cut, so that both sides of the join are plain shuffles and a gram that is very common is split)
+    twice = cut(rows.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram"))
     kept = cut(rows.join(twice, "gram"))
     # pass 2: all bytes that the anchor's windows can have
     groups = cut(kept.groupBy(F.col("gram").alias("g"), F.col("whole").alias("w"))
@@ -243,18 +244,20 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
         source = context if active is None else context.join(active, "spot")
         source = source.withColumn("active", F.lit(None).cast("array<int>")) if active is None else source
-        nodes = cut(map_rows(source, digits, "spot struct<doc_id:bigint,rk:bigint,packed:bigint>, gram bigint, block int, core bigint, hull bigint", 64))
-        key = ["gram", "block"]
-        cores = nodes.groupBy(*key, "core").agg(F.count(F.lit(1)).alias("n_core")).filter("n_core > 1")
-        hulls = (nodes.filter("hull IS NOT NULL").groupBy(*key, "hull")
-                 .agg(F.count(F.lit(1)).alias("n_hull"), F.min("spot").alias("one")).filter("n_hull > 1"))
-        judged = cut(nodes.join(cores, [*key, "core"]).join(hulls, [*key, "hull"], "left"))
+        nodes = map_rows(source, digits, "spot struct<doc_id:bigint,rk:bigint,packed:bigint>, gram bigint, block int, core bigint, hull bigint", 64)
+        nodes = nodes.persist(StorageLevel.MEMORY_AND_DISK)
+        key = ["gram", "block", "core"]
+        groups = nodes.groupBy(*key, "hull").agg(F.count(F.lit(1)).alias("n"), F.min("spot").alias("one"))
+        cores = groups.groupBy(*key).agg(F.sum("n").alias("n_core")).filter("n_core > 1").select(*key)
+        hulls = groups.filter("n > 1 AND hull IS NOT NULL").withColumnRenamed("n", "n_hull")
+        judged = cut(nodes.join(cut(cores), key).join(cut(hulls), [*key, "hull"], "left"))
+        nodes.unpersist()
         at = F.shiftright("spot.packed", 24)
         found.append(judged.filter("n_hull IS NOT NULL").select(
             "spot.doc_id", "spot.rk", (at - F.least(F.col("block") + (size - 1), F.lit(reach))).alias("start"), (at - F.col("block") + length).alias("end")))
-        undone = judged.filter("n_hull IS NULL").select("spot", *key, "core")
-        partners = (judged.filter("spot <=> one").select("spot", *key, "core")
-                    .join(undone.select(*key, "core").distinct(), [*key, "core"], "left_semi"))
+        undone = judged.filter("n_hull IS NULL").select("spot", *key)
+        partners = (judged.filter("spot <=> one").select("spot", *key)
+                    .join(undone.select(*key).distinct(), key, "left_semi"))
         active = undone.unionByName(partners).groupBy("spot").agg(F.sort_array(F.collect_set("block")).alias("active"))
     spans = found[0]
     for more in found[1:]:
