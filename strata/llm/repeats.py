@@ -28,7 +28,7 @@ from __future__ import annotations
 import numpy as np
 import zstandard
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import map_rows
@@ -40,6 +40,8 @@ BLOCKS = (32, 4, 1)
 #: Starts of windows that are hashed at once; bounds the memory for a long text.
 PIECE = 1 << 17
 
+KEY = ["did", "rk"]
+
 _U = np.uint64
 _rng = np.random.default_rng(20_250_101)
 #: For each of two polynomials modulo 2^64: a number for each byte, an odd base and its inverse.
@@ -134,73 +136,71 @@ def unpack(packed: int) -> tuple[int, int, int]:
     return packed >> 24, packed >> 12 & 0xFFF, packed & 0xFFF
 
 
+def rows_of(docs: DataFrame) -> DataFrame:
+    """``doc_id, did, rk, text`` without nulls in the key: ``did`` is the id or 0, ``rk`` tells texts and null ids apart."""
+    text = F.coalesce("text", F.lit(""))
+    doc_id = F.col("doc_id").cast("bigint")
+    return docs.select(doc_id.alias("doc_id"), F.coalesce(doc_id, F.lit(0)).alias("did"), text.alias("text"), F.xxhash64(text, doc_id.isNull()).alias("rk"))
+
+
 def squeezed(docs: DataFrame) -> DataFrame:
-    """``doc_id, rk, z``: the text compressed, for the shuffles."""
+    """``doc_id, did, rk, z``: the text compressed, dealt out by key once for all joins with it."""
     def work(c: dict) -> dict:
         z = zstandard.ZstdCompressor(level=3)
-        return {"doc_id": c["doc_id"], "rk": c["rk"], "z": [z.compress(t) for t in c["text"]]}
-
-    return map_rows(rows_of(docs), work, "doc_id bigint, rk bigint, z binary")
-
+        return {k: c[k] for k in ("doc_id", "did", "rk")} | {"z": [z.compress(t) for t in c["text"]]}
 
-def rows_of(docs: DataFrame) -> DataFrame:
-    text = F.coalesce("text", F.lit(""))
-    return docs.select(F.col("doc_id").cast("bigint"), text.alias("text"), F.xxhash64(text).alias("rk"))
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return map_rows(rows_of(docs), work, "doc_id bigint, did bigint, rk bigint, z binary").repartition(n, *KEY).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def plain(z: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(z)
 
 
-def same_row(a: DataFrame, b: DataFrame) -> Column:
-    return a["doc_id"].eqNullSafe(b["doc_id"]) & (a["rk"] == b["rk"])
-
-
-def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``doc_id, rk, start, end``: ranges whose every ``length`` bytes start somewhere else too; ranges may overlap."""
+def repeated_spans(docs: DataFrame, texts: DataFrame, length: int = LENGTH) -> DataFrame:
+    """``did, rk, start, end``: ranges whose every ``length`` bytes start somewhere else too; ranges may overlap."""
     if not 4 <= length < 4096:
         raise ValueError("length must lie between 4 and 4095")
     reach = length - max(length // 4, 1)
 
     def suffixes(c: dict) -> dict:
-        out: dict[str, list] = {k: [] for k in ("doc_id", "rk", "packed", "gram", "whole", "size")}
-        for doc_id, rk, text in zip(c["doc_id"], c["rk"], c["text"]):
+        out: dict[str, list] = {k: [] for k in ("did", "rk", "packed", "gram", "whole", "size")}
+        for did, rk, text in zip(c["did"], c["rk"], c["text"]):
             pos, low, high, gram, whole = anchors(text, length)
             out["packed"] += pack(pos, low, high).tolist()
             out["gram"] += gram.view(np.int64).tolist()
             out["whole"] += whole.view(np.int64).tolist()
-            out["doc_id"] += [doc_id] * len(pos)
+            out["did"] += [did] * len(pos)
             out["rk"] += [rk] * len(pos)
             out["size"] += [len(text)] * len(pos)
         return out
 
     rows = map_rows(rows_of(docs).filter(F.octet_length("text") >= length), suffixes,
-                    "doc_id bigint, rk bigint, packed bigint, gram bigint, whole bigint, size bigint", 32)
+                    "did bigint, rk bigint, packed bigint, gram bigint, whole bigint, size bigint", 32)
     # pass 1: grams that occur twice
     # (cut, so that both sides of the join are plain shuffles and a gram that is very common is split)
     twice = cut(rows.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram"))
     kept = cut(rows.join(twice, "gram"))
     # pass 2: all bytes that the anchor's windows can have
     groups = cut(kept.groupBy(F.col("gram").alias("g"), F.col("whole").alias("w"))
-                 .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "rk", "packed")).alias("one")).filter("n > 1"))
+                 .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*KEY, "packed")).alias("one")).filter("n > 1"))
     judged = kept.join(groups, (F.col("gram") == F.col("g")) & (F.col("whole") == F.col("w")), "left")
     pos = F.shiftright("packed", 24)
-    found = [judged.filter("n IS NOT NULL").select("doc_id", "rk", F.greatest(pos - reach, F.lit(0)).alias("start"),
+    found = [judged.filter("n IS NOT NULL").select(*KEY, F.greatest(pos - reach, F.lit(0)).alias("start"),
                                                    F.least(pos + length, F.col("size")).alias("end"))]
     # passes 3 to 5, on the bytes around what is left; of equal anchors that are done one stays as the others' partner
-    undone = judged.filter("n IS NULL").select("doc_id", "rk", "packed", "gram")
+    undone = judged.filter("n IS NULL").select(*KEY, "packed", "gram")
     partners = groups.select("one.*", F.col("g").alias("gram")).join(undone.select("gram").distinct(), "gram", "left_semi")
-    todo = undone.unionByName(partners).groupBy("doc_id", "rk").agg(F.sort_array(F.collect_list(F.struct("packed", "gram"))).alias("todo"))
-    texts = squeezed(docs)
+    todo = undone.unionByName(partners).groupBy(*KEY).agg(F.sort_array(F.collect_list(F.struct("packed", "gram"))).alias("todo"))
 
     def around(c: dict) -> dict:
-        out: dict[str, list] = {k: [] for k in ("doc_id", "rk", "packed", "gram", "before", "bytes")}
-        for doc_id, rk, z, anchors_here in zip(c["doc_id"], c["rk"], c["z"], c["todo"]):
+        out: dict[str, list] = {k: [] for k in ("did", "rk", "packed", "gram", "before", "bytes")}
+        for did, rk, z, anchors_here in zip(c["did"], c["rk"], c["z"], c["todo"]):
             text = plain(z)
             for x in anchors_here:
                 at = unpack(x["packed"])[0]
                 left = max(0, at - reach)
-                out["doc_id"].append(doc_id)
+                out["did"].append(did)
                 out["rk"].append(rk)
                 out["packed"].append(x["packed"])
                 out["gram"].append(x["gram"])
@@ -208,10 +208,11 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 out["bytes"].append(text[left:at + length])
         return out
 
-    joined = texts.join(todo, same_row(texts, todo)).select(texts["doc_id"], texts["rk"], "z", "todo")
-    spot = F.struct("doc_id", "rk", "packed")
-    context = (map_rows(joined, around, "doc_id bigint, rk bigint, packed bigint, gram bigint, before int, bytes binary", 16)
-               .select(spot.alias("spot"), "gram", "before", "bytes").repartition("spot").persist(StorageLevel.MEMORY_AND_DISK))
+    joined = texts.join(todo, KEY).select(*KEY, "z", "todo")
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spot = F.struct(*KEY, "packed")
+    context = (map_rows(joined, around, "did bigint, rk bigint, packed bigint, gram bigint, before int, bytes binary", 16)
+               .select(spot.alias("spot"), "gram", "before", "bytes").repartition(n, "spot").persist(StorageLevel.MEMORY_AND_DISK))
     active = None
     for level, size in enumerate(BLOCKS):
         wider = BLOCKS[level - 1] if level else reach + 1
@@ -244,7 +245,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
         source = context if active is None else context.join(active, "spot")
         source = source.withColumn("active", F.lit(None).cast("array<int>")) if active is None else source
-        nodes = map_rows(source, digits, "spot struct<doc_id:bigint,rk:bigint,packed:bigint>, gram bigint, block int, core bigint, hull bigint", 64)
+        nodes = map_rows(source, digits, "spot struct<did:bigint,rk:bigint,packed:bigint>, gram bigint, block int, core bigint, hull bigint", 64)
         nodes = nodes.persist(StorageLevel.MEMORY_AND_DISK)
         key = ["gram", "block", "core"]
         groups = nodes.groupBy(*key, "hull").agg(F.count(F.lit(1)).alias("n"), F.min("spot").alias("one"))
@@ -254,7 +255,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         nodes.unpersist()
         at = F.shiftright("spot.packed", 24)
         found.append(judged.filter("n_hull IS NOT NULL").select(
-            "spot.doc_id", "spot.rk", (at - F.least(F.col("block") + (size - 1), F.lit(reach))).alias("start"), (at - F.col("block") + length).alias("end")))
+            "spot.did", "spot.rk", (at - F.least(F.col("block") + (size - 1), F.lit(reach))).alias("start"), (at - F.col("block") + length).alias("end")))
         undone = judged.filter("n_hull IS NULL").select("spot", *key)
         partners = (judged.filter("spot <=> one").select("spot", *key)
                     .join(undone.select(*key).distinct(), key, "left_semi"))
@@ -279,10 +280,10 @@ def merged(spans: list[int]) -> list[tuple[int, int]]:
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """``doc_id, rk, kept, n_bytes, spans`` of every row: the remaining bytes, and the removed ranges."""
-    spans = repeated_spans(docs, length)
-    packed = F.shiftleft(F.col("start").cast("bigint"), 32).bitwiseOR(F.col("end").cast("bigint"))
-    listed = spans.select("doc_id", "rk", packed.alias("span")).groupBy("doc_id", "rk").agg(F.sort_array(F.collect_set("span")).alias("listed"))
     texts = squeezed(docs)
+    spans = repeated_spans(docs, texts, length)
+    packed = F.shiftleft(F.col("start").cast("bigint"), 32).bitwiseOR(F.col("end").cast("bigint"))
+    listed = spans.select(*KEY, packed.alias("span")).groupBy(*KEY).agg(F.sort_array(F.collect_set("span")).alias("listed"))
 
     def work(c: dict) -> dict:
         out: dict[str, list] = {k: [] for k in ("kept", "n_bytes", "spans")}
@@ -298,7 +299,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             out["spans"].append([{"start": s, "end": e} for s, e in ranges])
         return {"doc_id": c["doc_id"], "rk": c["rk"]} | out
 
-    joined = texts.join(listed, same_row(texts, listed), "left").select(texts["doc_id"], texts["rk"], "z", "listed")
+    joined = texts.join(listed, KEY, "left").select("doc_id", "rk", "z", "listed")
     return map_rows(joined, work, "doc_id bigint, rk bigint, kept binary, n_bytes bigint, spans array<struct<start:bigint,end:bigint>>", 64)
 
 
