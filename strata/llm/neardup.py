@@ -187,7 +187,8 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     nodes = cut(signed.groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rk")).alias("row"), F.min("sig").alias("sig"), F.min("bands").alias("bands")))
     banded = nodes.filter(F.col("bands").isNotNull()).select("node", F.explode("bands").alias("band"))
     # bands that hold several nodes, with their node of smallest hash
-    heads = (banded.groupBy("band").agg(F.min(F.struct(F.xxhash64("node").alias("h"), "node")).alias("head"), F.count(F.lit(1)).alias("n"))
+    # (cut, as is every aggregate below that is joined to its rows: both sides are plain shuffles and a hot key is split)
+    heads = cut(banded.groupBy("band").agg(F.min(F.struct(F.xxhash64("node").alias("h"), "node")).alias("head"), F.count(F.lit(1)).alias("n"))
              .filter("n > 1").select("band", F.col("head.node").alias("head")))
     shared = cut(banded.join(heads, "band"))
     star = shared.filter("node != head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
@@ -196,7 +197,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     # bands that still hold several classes: pairs across classes that weren't candidates yet
     tagged = (shared.join(labels.withColumnRenamed("node", "x"), F.col("node") == F.col("x"), "left")
               .select("band", "node", "head", F.coalesce("label", "node").alias("label")))
-    mixed = tagged.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high").select("band")
+    mixed = cut(tagged.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high").select("band"))
     open_bands = cut(tagged.join(mixed, "band"))
     left, right = open_bands.toDF("band", "a", "head", "label_a"), open_bands.toDF("band", "b", "head_b", "label_b")
     across = left.join(right, "band").filter("a < b AND label_a != label_b AND a != head AND b != head").select("a", "b").distinct()
@@ -206,8 +207,8 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         labels = components(links)
     named = (nodes.select("node", "row").join(labels.withColumnRenamed("node", "x"), F.col("node") == F.col("x"), "left")
              .select("node", "row", F.coalesce("label", "node").alias("label")))
-    lowest = named.groupBy("label").agg(F.min("row").alias("head_row"))
-    named = named.join(lowest, "label").select("node", "head_row")
+    lowest = cut(named.groupBy("label").agg(F.min("row").alias("head_row")))
+    named = cut(named.join(lowest, "label").select("node", "head_row"))
     return signed.select("doc_id", "rk", "node").join(named, "node").select(
         "doc_id", "rk", F.col("head_row.doc_id").alias("class_id"),
         (F.col("doc_id").eqNullSafe(F.col("head_row.doc_id")) & (F.col("rk") == F.col("head_row.rk"))).alias("first"))
