@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import zstandard
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -70,3 +72,32 @@ def map_rows(df: DataFrame, work: Callable[[dict], dict], schema: str | T.Struct
                 yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in arrow_schema], schema=arrow_schema)
 
     return df.mapInArrow(run, spark_schema)
+
+
+#: Key of a document row, without nulls.
+KEY = ["did", "rk"]
+
+
+def with_key(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``did``, the id or 0, and ``rk``, which tells texts and nulls apart: only equal rows share a key."""
+    doc_id = F.col("doc_id")
+    return docs.withColumns({"did": F.coalesce(doc_id, F.lit(0)), "rk": F.xxhash64(F.coalesce("text", F.lit("")), F.col("text").isNull(), doc_id.isNull())})
+
+
+def rows_of(docs: DataFrame) -> DataFrame:
+    """``doc_id, text, did, rk`` of every row."""
+    return with_key(docs.select(F.col("doc_id").cast("bigint"), "text"))
+
+
+def squeezed(docs: DataFrame) -> DataFrame:
+    """``doc_id, did, rk, z``: the text compressed (null as empty), dealt out by key once for all joins with it."""
+    def work(c: dict) -> dict:
+        z = zstandard.ZstdCompressor(level=3)
+        return {k: c[k] for k in ("doc_id", *KEY)} | {"z": [z.compress(t or b"") for t in c["text"]]}
+
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return map_rows(rows_of(docs), work, "doc_id bigint, did bigint, rk bigint, z binary").repartition(n, *KEY).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def plain(z: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(z)

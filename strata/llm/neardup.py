@@ -7,13 +7,15 @@ Each point belongs to one of ``SIZE`` signature places, and a place keeps its ea
 place with the probability of their weighted Jaccard likeness. Points are drawn in time order up to a horizon at which
 all places are filled, so a document costs its shingles plus SIZE log SIZE points.
 
-Equal multisets are one node. Nodes that share a band (4 places) are candidates: first each with the band's node of
-smallest hash, then, where a band still holds several classes, each with the nodes of the other classes. Candidates
-whose signatures agree enough are verified on whole texts: sum of minima over sum of maxima of the counts is at least
-``threshold``. Classes are the connected components of the verified links.
+Equal multisets are one node. Nodes that share a band (4 places) are candidates, in three rounds: each with one node of
+the band, another one in every band; then, in bands that still hold several classes, each with the band's node of most
+links; then each with the nodes of the other classes. The joins let pass only pairs whose weights allow the likeness
+and whose signatures agree enough, so what they give grows with the links and not with the square of a band. Passed
+pairs are verified on whole texts: sum of minima over sum of maxima of the counts is at least ``threshold``. Classes are
+the connected components of the verified links; a pair that shares a band is left out only if it is in one class.
 
-With 32 bands a pair of likeness 0.8 shares none with probability 5e-8. The estimate lets pass what agrees in at least
-``MARGIN`` less than the threshold (six standard deviations).
+With 24 bands a pair of likeness 0.8 shares none with probability 3e-6. The estimate lets pass what agrees in at least
+``MARGIN`` less than the threshold (five standard deviations of the estimate).
 
 Defined results: a text of one to four words is one shingle; texts without words are classes of equal texts; a null
 text is a class of its own id; a class is named by its smallest doc_id (null if all are null); equal rows are copies.
@@ -25,18 +27,18 @@ from __future__ import annotations
 from hashlib import blake2b
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from strata.llm.common import document_rows, keyed, map_rows
+from strata.llm.common import KEY, document_rows, map_rows, plain, rows_of, squeezed, with_key
 from strata.llm.components import components
 from strata.llm.decontaminate import words_of
 from strata.session import cut
 
 SHINGLE, THRESHOLD = 5, 0.8
-SIZE, BANDS = 128, 32
-MARGIN = 0.22
+SIZE, BANDS = 96, 24
+MARGIN = 0.2
 
 _U = np.uint64
 _word: dict[bytes, int] = {}
@@ -60,15 +62,29 @@ def word_hash(word: bytes) -> int:
 
 def shingles(text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of a whole text, rising, and their counts."""
-    words = words_of(text)
-    if not words:
-        return np.zeros(0, _U), np.zeros(0, np.int64)
-    h = np.fromiter(map(word_hash, words), _U, len(words))
-    width = min(SHINGLE, len(h))
+    return shingle_lists([text])[0]
+
+
+def shingle_lists(texts: list[bytes | None]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """``shingles`` of several texts, hashed in one go."""
+    lists = [words_of(t) for t in texts]
+    ends = np.cumsum([len(x) for x in lists]).tolist()
+    h = np.fromiter((word_hash(w) for x in lists for w in x), _U, ends[-1] if ends else 0)
+    total = roll(h, SHINGLE) if len(h) >= SHINGLE else None
+    out = []
+    for x, end in zip(lists, ends):
+        n = len(x)
+        own = total[end - n:end - SHINGLE + 1] if n >= SHINGLE else roll(h[end - n:end], n) if n else h[:0]
+        out.append(np.unique(own, return_counts=True))
+    return out
+
+
+def roll(h: np.ndarray, width: int) -> np.ndarray:
+    """Hash of each ``width`` neighbouring words."""
     total = np.zeros(len(h) - width + 1, _U)
     for j in range(width):
         total = mix(total + h[j:len(h) - width + 1 + j] + _U(j + 1))
-    return np.unique(total, return_counts=True)
+    return total
 
 
 def uniform(x: np.ndarray) -> np.ndarray:
@@ -76,36 +92,46 @@ def uniform(x: np.ndarray) -> np.ndarray:
     return ((x >> _U(11)).astype(np.float64) + 0.5) * 2.0 ** -53
 
 
-def signature(elements: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """SIZE numbers; equal ones stand for the same earliest point."""
+def intervals(elements: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The processes of a multiset: their identities, rates, and the share of each interval that counts."""
     ids, widths, caps = [], [], []
     low, width, level = 0.0, 1.0, 0
-    at = np.arange(len(elements))
-    while len(at):
-        ids.append(mix(elements[at] + _U(0x9E3779B97F4A7C15 * (level + 1) % 2 ** 64)))
-        widths.append(np.full(len(at), width))
-        caps.append(np.minimum(weights[at] - low, width) / width)
+    while len(elements):
+        ids.append(mix(elements + _U(0x9E3779B97F4A7C15 * (level + 1) % 2 ** 64)))
+        widths.append(np.full(len(elements), width))
+        caps.append(np.minimum(weights - low, width) / width)
         low += width
         width = 1.0 if level == 0 else width * 2
         level += 1
-        at = at[weights[at] > low]
-    ids, widths, caps = np.concatenate(ids), np.concatenate(widths), np.concatenate(caps)
-    horizon = SIZE * (np.log(SIZE) + 4) / float(weights.sum())
-    while True:
-        best = np.full(SIZE, np.inf)
-        ident, time, rate, cap, step = ids, np.zeros(len(ids)), widths, caps, 0
+        more = weights > low
+        elements, weights = elements[more], weights[more]
+    return np.concatenate(ids), np.concatenate(widths), np.concatenate(caps)
+
+
+def signatures_of(sets: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """A row of SIZE numbers for each (non-empty) multiset; equal ones stand for the same earliest point."""
+    rows = np.full((len(sets), SIZE), np.inf)
+    todo, slack = np.arange(len(sets)), 4.0
+    while len(todo):
+        parts = [intervals(*sets[i]) for i in todo]
+        ident, rate, cap = (np.concatenate(x) for x in zip(*parts))
+        horizon = SIZE * (np.log(SIZE) + slack) / np.array([float(sets[i][1].sum()) for i in todo])
+        at = np.repeat(np.arange(len(todo)), [len(p[0]) for p in parts])
+        best, time, step = np.full(len(todo) * SIZE, np.inf), np.zeros(len(ident)), 0
         while len(ident):
             step += 1
             draw = mix(ident ^ mix(np.full(1, step, _U)))
             time = time - np.log(uniform(draw)) / rate
-            alive = time < horizon
-            ident, time, rate, cap, draw = ident[alive], time[alive], rate[alive], cap[alive], draw[alive]
-            place = mix(draw + _U(1))
-            taken = uniform(mix(draw + _U(2))) < cap
-            np.minimum.at(best, (place[taken] % _U(SIZE)).astype(np.intp), time[taken])
-        if np.isfinite(best).all():
-            return (mix(best.view(_U)) >> _U(32)).astype(np.uint32)
-        horizon *= 2
+            alive = time < horizon[at]
+            ident, time, rate, cap, at, draw = (x[alive] for x in (ident, time, rate, cap, at, draw))
+            place = at * SIZE + (mix(draw + _U(1)) % _U(SIZE)).astype(np.int64)
+            taken = (cap >= 1) | (uniform(mix(draw + _U(2))) < cap)
+            np.minimum.at(best, place[taken], time[taken])
+        best = best.reshape(-1, SIZE)
+        full = np.isfinite(best).all(axis=1)
+        rows[todo[full]] = best[full]
+        todo, slack = todo[~full], slack * 2 + SIZE  # a place was left empty before the horizon: look further
+    return (mix(rows.view(_U)) >> _U(32)).astype(np.uint32)
 
 
 def overlap(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -115,109 +141,138 @@ def overlap(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
     return least / max(int(a[1].sum() + b[1].sum()) - least, 1)
 
 
+#: Places in a long of the sketch; each has 9 bits, and one that stays free for counting.
+PACKED, PLACE_BITS = 6, 9
+SKETCH = [f"s{i}" for i in range(SIZE // PACKED)]
+
+
 def signatures(docs: DataFrame) -> DataFrame:
-    """``doc_id, rk, node, sig, bands`` of every row; ``node`` is the digest of its multiset, ``sig`` and ``bands`` null without words."""
+    """``doc_id, did, rk, node, weight, sketch, bands`` of every row; ``node`` is the digest of its multiset, ``weight``
+    the number of its shingles; ``sketch`` and ``bands`` are null without words."""
     def work(c: dict) -> dict:
-        out = {"doc_id": c["doc_id"], "rk": c["rk"], "node": [], "sig": [], "bands": []}
-        for doc_id, text in zip(c["doc_id"], c["text"]):
-            h, n = shingles(text)
-            if len(h):
-                sig = signature(h, n)
-                rows = SIZE // BANDS
-                band = np.arange(BANDS, dtype=_U)
-                for r in range(rows):
-                    band = mix(band + sig[r::rows].astype(_U))
-                out["node"].append(blake2b(h.tobytes() + n.tobytes(), digest_size=16).digest())
-                out["sig"].append(sig.tobytes())
-                out["bands"].append(band.view(np.int64).tolist())
-            else:
-                own = b"null %r" % doc_id if text is None else b"text " + text
-                out["node"].append(blake2b(own, digest_size=16).digest())
-                out["sig"].append(None)
-                out["bands"].append(None)
+        sets = shingle_lists(c["text"])
+        spoken = [i for i, (h, _) in enumerate(sets) if len(h)]
+        out = {k: c[k] for k in ("doc_id", *KEY)} | {"node": [], "weight": [int(n.sum()) for _, n in sets],
+                                                     "sketch": [None] * len(sets), "bands": [None] * len(sets)}
+        for doc_id, text, (h, n) in zip(c["doc_id"], c["text"], sets):
+            own = h.tobytes() + n.tobytes() if len(h) else b"null %r" % doc_id if text is None else b"text " + text
+            out["node"].append(blake2b(own, digest_size=16).digest())
+        if spoken:
+            sigs = signatures_of([sets[i] for i in spoken])
+            band = np.broadcast_to(np.arange(BANDS, dtype=_U), (len(spoken), BANDS))
+            for r in range(SIZE // BANDS):
+                band = mix(band + sigs[:, r::SIZE // BANDS].astype(_U))
+            places = (sigs & np.uint32((1 << PLACE_BITS) - 1)).astype(np.int64).reshape(len(spoken), -1, PACKED)
+            sketch = (places << (np.arange(PACKED) * (PLACE_BITS + 1))).sum(axis=2)
+            for i, own, row in zip(spoken, sketch.tolist(), band.view(np.int64).tolist()):
+                out["sketch"][i], out["bands"][i] = own, row
         return out
 
-    return map_rows(keyed(docs.select(F.col("doc_id").cast("bigint"), "text")), work,
-                    "doc_id bigint, rk bigint, node binary, sig binary, bands array<bigint>")
+    return map_rows(rows_of(docs), work, "doc_id bigint, did bigint, rk bigint, node binary, weight bigint, sketch array<bigint>, bands array<bigint>")
 
 
-def likely(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (``a``, ``b``) whose signatures agree in enough places, with the rows that stand for them."""
-    need = int((threshold - MARGIN) * SIZE)
-    side = lambda x: nodes.select(F.col("node").alias(x), F.col("row").alias(f"row_{x}"), F.col("sig").alias(f"sig_{x}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
+def alike(threshold: float) -> Column:
+    """Can nodes a and b reach the threshold by their weights, and do enough places of their sketches agree?
 
-    def work(c: dict) -> dict:
-        keep = [i for i, (x, y) in enumerate(zip(c["sig_a"], c["sig_b"])) if np.count_nonzero(np.frombuffer(x, np.uint32) == np.frombuffer(y, np.uint32)) >= need]
-        out = {k: [c[k][i] for i in keep] for k in ("a", "b")}
-        for x in "ab":
-            out[f"id_{x}"] = [c[f"row_{x}"][i]["doc_id"] for i in keep]
-            out[f"rk_{x}"] = [c[f"row_{x}"][i]["rk"] for i in keep]
-        return out
+    A place of the sketches' difference that isn't zero carries into its free bit when all its bits are added.
+    """
+    fields = [i * (PLACE_BITS + 1) for i in range(PACKED)]
+    ones, free = F.lit(sum(((1 << PLACE_BITS) - 1) << i for i in fields)), F.lit(sum(1 << (i + PLACE_BITS) for i in fields))
+    differ = F.lit(0)
+    for s in SKETCH:
+        differ = differ + F.bit_count((F.col(f"{s}_a").bitwiseXOR(F.col(f"{s}_b")) + ones).bitwiseAND(free))
+    a, b = F.col("weight_a"), F.col("weight_b")
+    return (F.least(a, b) >= F.greatest(a, b) * threshold) & (differ <= SIZE - int((threshold - MARGIN) * SIZE))
+
+
+def side(nodes: DataFrame, name: str) -> DataFrame:
+    """Columns of ``nodes`` as those of node ``name`` of a pair."""
+    return nodes.select(F.col("node").alias(name), F.col("weight").alias(f"weight_{name}"),
+                        *[F.col("sketch")[i].alias(f"{s}_{name}") for i, s in enumerate(SKETCH)],
+                        *[F.col("row")[k].alias(f"{k}_{name}") for k in KEY])
 
-    return map_rows(both, work, "a binary, b binary, id_a bigint, rk_a bigint, id_b bigint, rk_b bigint")
 
+PAIR = ["a", "b", *[f"{k}_{x}" for x in "ab" for k in KEY]]
 
-def verified(docs: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
-    """The pairs whose multisets overlap enough, from whole texts. Both joins are on single rows of ``docs``, so a node
-    with very many partners is split like any skewed join."""
-    rows = keyed(docs.select(F.col("doc_id").cast("bigint"), "text"))
-    left = rows.toDF("l_id", "l_text", "l_rk")
-    right = rows.toDF("r_id", "r_text", "r_rk")
-    first = pairs.join(left, pairs["id_a"].eqNullSafe(F.col("l_id")) & (pairs["rk_a"] == F.col("l_rk"))).select("a", "b", "id_b", "rk_b", "l_text")
-    both = first.join(right, F.col("id_b").eqNullSafe(F.col("r_id")) & (F.col("rk_b") == F.col("r_rk"))).select("a", "b", "l_text", "r_text")
+
+def likely(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (``a``, ``b``) that can be links, with the rows that stand for them."""
+    return pairs.join(side(nodes, "a"), "a").join(side(nodes, "b"), "b").filter(alike(threshold)).select(*PAIR)
+
+
+def verified(texts: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
+    """The pairs whose multisets overlap enough, from whole texts. Both joins bring one text to a row, so a node with
+    very many partners is split like any skewed join."""
+    left, right = (texts.select(*[F.col(k).alias(f"{k}_{x}") for k in KEY], F.col("z").alias(f"z_{x}")) for x in "ab")
+    both = (pairs.join(left, [f"{k}_a" for k in KEY]).select("a", "b", "z_a", *[f"{k}_b" for k in KEY])
+            .join(right, [f"{k}_b" for k in KEY]).select("a", "b", "z_a", "z_b"))
     last: dict[bytes, tuple] = {}
 
     def work(c: dict) -> dict:
         keep = []
-        for i, (x, y) in enumerate(zip(c["l_text"], c["r_text"])):
+        for i, (x, y) in enumerate(zip(c["z_a"], c["z_b"])):
             if y not in last:  # rows of one partner follow one another
                 last.clear()
-                last[y] = shingles(y)
-            if overlap(shingles(x), last[y]) >= threshold:
+                last[y] = shingles(plain(y))
+            if overlap(shingles(plain(x)), last[y]) >= threshold:
                 keep.append(i)
         return {k: [c[k][i] for i in keep] for k in ("a", "b")}
 
-    return map_rows(both, work, "a binary, b binary")
+    return cut(map_rows(both, work, "a binary, b binary"))
+
+
+def mixed_bands(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """``band, node, label`` of the bands that hold nodes of several classes."""
+    tagged = cut(shared.join(labels.withColumnRenamed("node", "x"), F.col("node") == F.col("x"), "left")
+                 .select("band", "node", F.coalesce("label", "node").alias("label")))
+    mixed = cut(tagged.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high").select("band"))
+    return tagged.join(mixed, "band")
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``doc_id, rk, class_id, first``: the class of every row; ``first`` marks rows equal to the class's first one."""
+    """``doc_id, did, rk, class_id, first``: the class of every row; ``first`` marks rows equal to the class's first one."""
     signed = cut(signatures(docs))
-    nodes = cut(signed.groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rk")).alias("row"), F.min("sig").alias("sig"), F.min("bands").alias("bands")))
+    texts = squeezed(docs)
+    row = F.struct((F.col("doc_id").isNull()).alias("none"), *KEY)
+    nodes = cut(signed.groupBy("node", "weight").agg(F.min(row).alias("row"), F.min("sketch").alias("sketch"), F.min("bands").alias("bands")))
     banded = nodes.filter(F.col("bands").isNotNull()).select("node", F.explode("bands").alias("band"))
-    # bands that hold several nodes, with their node of smallest hash
-    # (cut, as is every aggregate below that is joined to its rows: both sides are plain shuffles and a hot key is split)
-    heads = cut(banded.groupBy("band").agg(F.min(F.struct(F.xxhash64("node").alias("h"), "node")).alias("head"), F.count(F.lit(1)).alias("n"))
-             .filter("n > 1").select("band", F.col("head.node").alias("head")))
-    shared = cut(banded.join(heads, "band"))
-    star = shared.filter("node != head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
-    links = cut(verified(docs, likely(star, nodes, threshold), threshold))
+    # (every aggregate that is joined to its rows is cut: both sides are plain shuffles and a hot key is split)
+    heads = cut(banded.groupBy("band").agg(F.min(F.struct(F.xxhash64("node", "band").alias("h"), "node")).alias("head"), F.count(F.lit(1)).alias("n"))
+                .filter("n > 1").select("band", F.col("head.node").alias("head")))
+    together = cut(banded.join(heads, "band"))
+    star = together.filter("node != head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
+    links = verified(texts, likely(star, nodes, threshold), threshold)
     labels = components(links)
-    # bands that still hold several classes: pairs across classes that weren't candidates yet
-    tagged = (shared.join(labels.withColumnRenamed("node", "x"), F.col("node") == F.col("x"), "left")
-              .select("band", "node", "head", F.coalesce("label", "node").alias("label")))
-    mixed = cut(tagged.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high").select("band"))
-    open_bands = cut(tagged.join(mixed, "band"))
-    left, right = open_bands.toDF("band", "a", "head", "label_a"), open_bands.toDF("band", "b", "head_b", "label_b")
-    across = left.join(right, "band").filter("a < b AND label_a != label_b AND a != head AND b != head").select("a", "b").distinct()
-    more = cut(verified(docs, likely(across, nodes, threshold), threshold))
-    if not more.isEmpty():
-        links = links.unionByName(more)
-        labels = components(links)
-    named = (nodes.select("node", "row").join(labels.withColumnRenamed("node", "x"), F.col("node") == F.col("x"), "left")
-             .select("node", "row", F.coalesce("label", "node").alias("label")))
+    # the node of most links in each band
+    shared = together.select("band", "node")
+    degree = cut(links.select("a").unionByName(links.select(F.col("b").alias("a"))).groupBy(F.col("a").alias("x")).agg(F.count(F.lit(1)).alias("degree")))
+    open_bands = cut(mixed_bands(shared, labels).join(degree, F.col("node") == F.col("x"), "left")
+                     .select("band", "node", "label", F.coalesce("degree", F.lit(0)).alias("degree")))
+    hubs = cut(open_bands.groupBy("band").agg(F.max(F.struct("degree", "node", "label")).alias("hub")))
+    star = (open_bands.join(hubs, "band").filter("label != hub.label")
+            .select(F.col("node").alias("a"), F.col("hub.node").alias("b")).distinct())
+    links = links.unionByName(verified(texts, likely(star, nodes, threshold), threshold))
+    labels = components(links)
+    # what is left: nodes of different classes in one band, paired only if they can be links
+    open_bands = cut(mixed_bands(shared, labels))
+    a = open_bands.select("band", "label", F.col("node").alias("a")).join(side(nodes, "a"), "a").withColumnRenamed("label", "label_a")
+    b = open_bands.select("band", "label", F.col("node").alias("b")).join(side(nodes, "b"), "b").withColumnRenamed("label", "label_b")
+    across = a.join(b, (a["band"] == b["band"]) & (F.col("a") < F.col("b")) & (F.col("label_a") != F.col("label_b")) & alike(threshold)).select(*PAIR).distinct()
+    links = links.unionByName(verified(texts, across, threshold))
+    labels = components(links)
+    named = cut(nodes.select("node", "row").join(labels.withColumnRenamed("node", "x"), F.col("node") == F.col("x"), "left")
+                .select("node", "row", F.coalesce("label", "node").alias("label")))
     lowest = cut(named.groupBy("label").agg(F.min("row").alias("head_row")))
     named = cut(named.join(lowest, "label").select("node", "head_row"))
-    return signed.select("doc_id", "rk", "node").join(named, "node").select(
-        "doc_id", "rk", F.col("head_row.doc_id").alias("class_id"),
-        (F.col("doc_id").eqNullSafe(F.col("head_row.doc_id")) & (F.col("rk") == F.col("head_row.rk"))).alias("first"))
+    head = F.col("head_row")
+    return signed.select("doc_id", *KEY, "node").join(named, "node").select(
+        "doc_id", *KEY, F.when(~head["none"], head["did"]).alias("class_id"),
+        ((F.col("did") == head["did"]) & (F.col("rk") == head["rk"])).alias("first"))
 
 
 def distinct_documents(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """One document of each class, that of the smallest doc_id; of equal (doc_id, text) rows the least."""
-    kept = classes(docs, threshold).filter("first").select(F.col("doc_id").alias("kept_id"), F.col("rk").alias("kept_rk")).distinct()
-    rows = document_rows(docs).withColumn("rk", F.xxhash64("text"))
-    stay = rows.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("rk") == F.col("kept_rk")), "left_semi")
-    return (stay.groupBy("doc_id", "rk").agg(F.min(F.struct("lang", "source", "n_chars", "text")).alias("d"))
+    """One document of each class, that of the smallest doc_id; of rows with equal id and text the least."""
+    kept = classes(docs, threshold).filter("first").select(*KEY).distinct()
+    rows = with_key(document_rows(docs))
+    return (rows.join(kept, KEY, "left_semi").groupBy("doc_id", *KEY).agg(F.min(F.struct("lang", "source", "n_chars", "text")).alias("d"))
             .select("doc_id", "d.text", "d.lang", "d.source", "d.n_chars"))

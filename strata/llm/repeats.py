@@ -26,12 +26,11 @@ id with different texts are documents of their own. An empty table gives no rows
 from __future__ import annotations
 
 import numpy as np
-import zstandard
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import map_rows
+from strata.llm.common import KEY, map_rows, plain, rows_of, squeezed
 from strata.session import cut
 
 LENGTH = 400
@@ -40,8 +39,6 @@ BLOCKS = (32, 4, 1)
 #: Starts of windows that are hashed at once; bounds the memory for a long text.
 PIECE = 1 << 17
 
-KEY = ["did", "rk"]
-
 _U = np.uint64
 _rng = np.random.default_rng(20_250_101)
 #: For each of two polynomials modulo 2^64: a number for each byte, an odd base and its inverse.
@@ -136,27 +133,6 @@ def unpack(packed: int) -> tuple[int, int, int]:
     return packed >> 24, packed >> 12 & 0xFFF, packed & 0xFFF
 
 
-def rows_of(docs: DataFrame) -> DataFrame:
-    """``doc_id, did, rk, text`` without nulls in the key: ``did`` is the id or 0, ``rk`` tells texts and null ids apart."""
-    text = F.coalesce("text", F.lit(""))
-    doc_id = F.col("doc_id").cast("bigint")
-    return docs.select(doc_id.alias("doc_id"), F.coalesce(doc_id, F.lit(0)).alias("did"), text.alias("text"), F.xxhash64(text, doc_id.isNull()).alias("rk"))
-
-
-def squeezed(docs: DataFrame) -> DataFrame:
-    """``doc_id, did, rk, z``: the text compressed, dealt out by key once for all joins with it."""
-    def work(c: dict) -> dict:
-        z = zstandard.ZstdCompressor(level=3)
-        return {k: c[k] for k in ("doc_id", "did", "rk")} | {"z": [z.compress(t) for t in c["text"]]}
-
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return map_rows(rows_of(docs), work, "doc_id bigint, did bigint, rk bigint, z binary").repartition(n, *KEY).persist(StorageLevel.MEMORY_AND_DISK)
-
-
-def plain(z: bytes) -> bytes:
-    return zstandard.ZstdDecompressor().decompress(z)
-
-
 def repeated_spans(docs: DataFrame, texts: DataFrame, length: int = LENGTH) -> DataFrame:
     """``did, rk, start, end``: ranges whose every ``length`` bytes start somewhere else too; ranges may overlap."""
     if not 4 <= length < 4096:
