@@ -15,7 +15,7 @@ pairs are verified on whole texts: sum of minima over sum of maxima of the count
 the connected components of the verified links; a pair that shares a band is left out only if it is in one class.
 
 With 24 bands a pair of likeness 0.8 shares none with probability 3e-6. The estimate lets pass what agrees in at least
-``MARGIN`` less than the threshold (five standard deviations of the estimate).
+``MARGIN`` less than the threshold (four standard deviations of the estimate), and a pair is passed in one band only.
 
 Defined results: a text of one to four words is one shingle; texts without words are classes of equal texts; a null
 text is a class of its own id; a class is named by its smallest doc_id (null if all are null); equal rows are copies.
@@ -38,7 +38,7 @@ from strata.session import cut
 
 SHINGLE, THRESHOLD = 5, 0.8
 SIZE, BANDS = 96, 24
-MARGIN = 0.2
+MARGIN = 0.16
 
 _U = np.uint64
 _word: dict[bytes, int] = {}
@@ -141,8 +141,8 @@ def overlap(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
     return least / max(int(a[1].sum() + b[1].sum()) - least, 1)
 
 
-#: Places in a long of the sketch; each has 9 bits, and one that stays free for counting.
-PACKED, PLACE_BITS = 6, 9
+#: A long of the sketch holds the places of one band; each has 14 bits, and one that stays free for counting.
+PACKED, PLACE_BITS = SIZE // BANDS, 14
 SKETCH = [f"s{i}" for i in range(SIZE // PACKED)]
 
 
@@ -161,7 +161,7 @@ def signatures(docs: DataFrame) -> DataFrame:
             sigs = signatures_of([sets[i] for i in spoken])
             band = np.broadcast_to(np.arange(BANDS, dtype=_U), (len(spoken), BANDS))
             for r in range(SIZE // BANDS):
-                band = mix(band + sigs[:, r::SIZE // BANDS].astype(_U))
+                band = mix(band + (sigs[:, r::SIZE // BANDS] & np.uint32((1 << PLACE_BITS) - 1)).astype(_U))
             places = (sigs & np.uint32((1 << PLACE_BITS) - 1)).astype(np.int64).reshape(len(spoken), -1, PACKED)
             sketch = (places << (np.arange(PACKED) * (PLACE_BITS + 1))).sum(axis=2)
             for i, own, row in zip(spoken, sketch.tolist(), band.view(np.int64).tolist()):
@@ -185,6 +185,11 @@ def alike(threshold: float) -> Column:
     return (F.least(a, b) >= F.greatest(a, b) * threshold) & (differ <= SIZE - int((threshold - MARGIN) * SIZE))
 
 
+def first_common_band() -> Column:
+    """Number of the first band that nodes a and b share."""
+    return F.coalesce(*[F.when(F.col(f"{s}_a") == F.col(f"{s}_b"), i) for i, s in enumerate(SKETCH)])
+
+
 def side(nodes: DataFrame, name: str) -> DataFrame:
     """Columns of ``nodes`` as those of node ``name`` of a pair."""
     return nodes.select(F.col("node").alias(name), F.col("weight").alias(f"weight_{name}"),
@@ -222,9 +227,9 @@ def verified(texts: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
 
 
 def mixed_bands(shared: DataFrame, labels: DataFrame) -> DataFrame:
-    """``band, node, label`` of the bands that hold nodes of several classes."""
+    """``no, band, node, label`` of the bands that hold nodes of several classes."""
     tagged = cut(shared.join(labels.withColumnRenamed("node", "x"), F.col("node") == F.col("x"), "left")
-                 .select("band", "node", F.coalesce("label", "node").alias("label")))
+                 .select("no", "band", "node", F.coalesce("label", "node").alias("label")))
     mixed = cut(tagged.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high").select("band"))
     return tagged.join(mixed, "band")
 
@@ -235,7 +240,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     texts = squeezed(docs)
     row = F.struct((F.col("doc_id").isNull()).alias("none"), *KEY)
     nodes = cut(signed.groupBy("node", "weight").agg(F.min(row).alias("row"), F.min("sketch").alias("sketch"), F.min("bands").alias("bands")))
-    banded = nodes.filter(F.col("bands").isNotNull()).select("node", F.explode("bands").alias("band"))
+    banded = nodes.filter(F.col("bands").isNotNull()).select("node", F.posexplode("bands").alias("no", "band"))
     # (every aggregate that is joined to its rows is cut: both sides are plain shuffles and a hot key is split)
     heads = cut(banded.groupBy("band").agg(F.min(F.struct(F.xxhash64("node", "band").alias("h"), "node")).alias("head"), F.count(F.lit(1)).alias("n"))
                 .filter("n > 1").select("band", F.col("head.node").alias("head")))
@@ -244,7 +249,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     links = verified(texts, likely(star, nodes, threshold), threshold)
     labels = components(links)
     # the node of most links in each band
-    shared = together.select("band", "node")
+    shared = together.select("no", "band", "node")
     degree = cut(links.select("a").unionByName(links.select(F.col("b").alias("a"))).groupBy(F.col("a").alias("x")).agg(F.count(F.lit(1)).alias("degree")))
     open_bands = cut(mixed_bands(shared, labels).join(degree, F.col("node") == F.col("x"), "left")
                      .select("band", "node", "label", F.coalesce("degree", F.lit(0)).alias("degree")))
@@ -255,9 +260,10 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     labels = components(links)
     # what is left: nodes of different classes in one band, paired only if they can be links
     open_bands = cut(mixed_bands(shared, labels))
-    a = open_bands.select("band", "label", F.col("node").alias("a")).join(side(nodes, "a"), "a").withColumnRenamed("label", "label_a")
+    a = open_bands.select("no", "band", "label", F.col("node").alias("a")).join(side(nodes, "a"), "a").withColumnRenamed("label", "label_a")
     b = open_bands.select("band", "label", F.col("node").alias("b")).join(side(nodes, "b"), "b").withColumnRenamed("label", "label_b")
-    across = a.join(b, (a["band"] == b["band"]) & (F.col("a") < F.col("b")) & (F.col("label_a") != F.col("label_b")) & alike(threshold)).select(*PAIR).distinct()
+    across = a.join(b, (a["band"] == b["band"]) & (F.col("a") < F.col("b")) & (F.col("label_a") != F.col("label_b")) & alike(threshold)
+                    & (first_common_band() == F.col("no"))).select(*PAIR).distinct()
     links = links.unionByName(verified(texts, across, threshold))
     labels = components(links)
     named = cut(nodes.select("node", "row").join(labels.withColumnRenamed("node", "x"), F.col("node") == F.col("x"), "left")
