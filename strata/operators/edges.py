@@ -44,7 +44,7 @@ def node_degrees(edges: DataFrame, keys: list[str], child: str = "child",
 def profile(edges: DataFrame, keys: list[str], child: str = "child",
             parent: str = "parent") -> DataFrame:
     """A4: per group, edges, nodes, roots (never a child) and leaves (never a parent)."""
-    d = node_degrees(edges, keys, child, parent)
+    d = node_degrees(edges.select(*keys, child, parent).distinct(), keys, child, parent)
     return d.groupBy(*keys).agg(
         F.sum("out_degree").cast("bigint").alias("n_edges"),
         F.count(F.lit(1)).alias("n_nodes"),

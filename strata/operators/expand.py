@@ -9,10 +9,9 @@ fan-out), and the distinct children form the next frontier. Rounds = length
 of the longest path. Equal elements merge through ``distinct``; the fan-out
 draw is keyed by the element, so an element always gets the same children.
 
-The inverted path has one row per path edge. It is broadcast only when a
-count shows it below ``broadcast_rows`` (100,000 rows of six short strings,
-some 20 MB); otherwise the join is planned by AQE from the measured size: a
-shuffle join in which a level holding most of the frontier is split.
+The inverted path has one row per path edge. Its join is planned by AQE from
+the measured size: a broadcast, or a shuffle join in which a level holding
+most of the frontier is split.
 """
 
 from __future__ import annotations
@@ -44,11 +43,6 @@ class Expansion:
     rounds: int
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only behind a row count that proves it small."""
-    return F.broadcast(df) if df.count() <= max_rows else df
-
-
 def top_elements(valid_pe: DataFrame, seed: int = 42, anchor: str = DEFAULT_ANCHOR,
                  keys: list[str] = HIER_KEYS) -> DataFrame:
     """One top element per hierarchy, at the level that is no source."""
@@ -66,12 +60,11 @@ def fanout_column(fanout: int | None, seed, keys: list[str]) -> Column:
 
 def expand(valid_pe: DataFrame, roots: DataFrame | None = None, seed: int = 42,
            fanout: int | None = None, anchor: str = DEFAULT_ANCHOR,
-           keys: list[str] = HIER_KEYS, broadcast_rows: int = 100_000,
-           checkpoint_every: int = 4, max_rounds: int = 10_000) -> Expansion:
+           keys: list[str] = HIER_KEYS, checkpoint_every: int = 4,
+           max_rounds: int | None = None) -> Expansion:
     """E13/E14. ``roots``: ``keys, level, element_id, element_label``; drawn by E1 if omitted."""
     inv = valid_pe.select(*keys, F.col(TO).alias("level"), F.col(FROM).alias("child_level")).distinct()
     inv = cut(inv)
-    inv_side = broadcast_if_small(inv, broadcast_rows)
     if roots is None:
         roots = top_elements(valid_pe, seed, anchor, keys)
     state = Rounds(checkpoint_every, keep_all=True)
@@ -81,9 +74,9 @@ def expand(valid_pe: DataFrame, roots: DataFrame | None = None, seed: int = 42,
     rejected_parts: list[DataFrame] = []
     rounds = 0
     while n > 0:
-        if rounds >= max_rounds:
+        if max_rounds is not None and rounds >= max_rounds:
             raise RuntimeError(f"expansion did not end after {max_rounds} rounds")
-        j = frontier.join(inv_side, [*keys, "level"])
+        j = frontier.join(inv, [*keys, "level"])
         vals = R.child_values(F.col("child_level"), F.col("level"), F.col("element_label"),
                               fanout_column(fanout, seed, keys))
         # Value-named children that repeat are one element: dedupe inside the

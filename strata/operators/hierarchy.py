@@ -79,7 +79,10 @@ def json_single_parent(bodies: DataFrame, keys: list[str] = HIER_KEYS, body: str
     pe = parse_dimension_json(bodies, body, tuple(keys)).withColumnsRenamed({"child": FROM, "parent": TO})
     out = pe.groupBy(*keys, FROM).agg(F.count(F.lit(1)).alias("n_to"))
     ok = out.groupBy(*keys).agg((F.max("n_to") <= 1).alias("single_parent"))
-    ok = bodies.select(*keys).join(ok, keys, "left").fillna(True, ["single_parent"])
+    # A body that is no map of lists is no hierarchy; an empty map is one.
+    parsed = F.from_json(F.col(body), "map<string,array<string>>").isNotNull()
+    ok = bodies.select(*keys, parsed.alias("_parsed")).join(ok, keys, "left").select(
+        *keys, (F.col("_parsed") & F.coalesce("single_parent", F.lit(True))).alias("single_parent"))
     return ok.withColumn("answer", F.concat(F.lit("Got the hierarchy and it is "),
                                             F.when(F.col("single_parent"), "true").otherwise("false")))
 
@@ -102,7 +105,8 @@ def validate(hier: DataFrame, dim_edges: DataFrame, keys: list[str] = HIER_KEYS,
     named = pe.select("dimension_id").distinct()
     dim_edges = scope.persist(dim_edges.select("dimension_id", "child", "parent")
                               .join(named, "dimension_id", "left_semi"))
-    groups = hierarchy_groups(pe, keys)
+    # From the hierarchies themselves: one whose levels are all null is EMPTY.
+    groups = hierarchy_groups(hier, keys)
     stats = path_stats(pe, keys)
     missing = edge_membership(pe, dim_edges, keys).groupBy(*keys).agg(
         F.count(F.when(~F.col("in_dimension"), 1)).alias("n_missing"))

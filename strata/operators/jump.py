@@ -45,7 +45,7 @@ class JumpResult:
 
 
 def jump(edges: DataFrame, keys: list[str], child: str = "child", parent: str = "parent",
-         checkpoint_every: int = 2, max_rounds: int = 200) -> JumpResult:
+         checkpoint_every: int = 2, max_rounds: int | None = None) -> JumpResult:
     """Pointer jumping on ``edges``; each ``(keys, child)`` must have at most one parent."""
     state = edges.filter(F.col(child).isNotNull() & F.col(parent).isNotNull()).select(
         *keys, F.col(child).alias("node"), F.col(parent).alias("root"),
@@ -55,7 +55,7 @@ def jump(edges: DataFrame, keys: list[str], child: str = "child", parent: str =
     n = state.filter(~F.col("done")).count()
     rounds = 0
     while n > 0:
-        if rounds >= max_rounds:
+        if max_rounds is not None and rounds >= max_rounds:
             raise RuntimeError(f"pointer jumping did not settle after {max_rounds} rounds")
         look = state.select(*keys, F.col("node").alias("root"), F.col("root").alias("_root"),
                             F.col("dist").alias("_dist"), F.col("done").alias("_done"))

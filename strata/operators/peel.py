@@ -10,8 +10,9 @@ Plan per round: the edges are semi-joined on (keys, parent) against the
 distinct (keys, child) set, aggregated map-side first. Both sides are keyed by
 a *node*, not by the group, so one hot group spreads over all partitions; AQE
 broadcasts the probe side while it is small (Spark checks the size at run
-time) and otherwise splits a hot parent on the streamed side, while a hot
-child collapses in the partial aggregation. For the levels, the live set of
+time), and a hot child collapses in the partial aggregation. Beyond the
+broadcast size the edges of one hot parent meet in one task: AQE splits a join
+only between plain shuffles, and the distinct probe side is none. For the levels, the live set of
 each round is kept and aggregated once at the end (``track_nodes``).
 
 Fault tolerance and plan size follow the Pregel pattern: every round is
@@ -55,7 +56,7 @@ class PeelResult:
 
 
 def peel(edges: DataFrame, keys: list[str], child: str = "child", parent: str = "parent",
-         max_rounds: int = 100_000, checkpoint_every: int = 2, layers_per_job: int = 2,
+         max_rounds: int | None = None, checkpoint_every: int = 2, layers_per_job: int = 2,
          track_nodes: bool = False) -> PeelResult:
     """Peel every group of ``edges`` at once.
 
@@ -72,14 +73,15 @@ def peel(edges: DataFrame, keys: list[str], child: str = "child", parent: str =
     """
     cols = [*keys, child, parent]
     rounds_state = Rounds(checkpoint_every)
-    source = (edges.select(*cols).filter(F.col(child).isNotNull() & F.col(parent).isNotNull())
+    # Several tenants may share a group: its edges count once.
+    source = (edges.select(*cols).filter(F.col(child).isNotNull() & F.col(parent).isNotNull()).distinct()
               .persist(StorageLevel.MEMORY_AND_DISK))
     cur = source
     n = cur.count()
     live_sets: list[DataFrame] = []
     rounds = 0
     while n > 0:
-        if rounds >= max_rounds:
+        if max_rounds is not None and rounds >= max_rounds:
             raise PeelDidNotConverge(f"{n} edges still falling after {max_rounds} rounds")
         layer = cur
         lives = []
@@ -96,6 +98,7 @@ def peel(edges: DataFrame, keys: list[str], child: str = "child", parent: str =
         nxt = rounds_state.materialise(layer)
         m = nxt.count()
         if m == n:
+            cur = nxt  # the same edges; the round before may have been released
             for live, _ in lives:
                 live.unpersist(blocking=False)
             break

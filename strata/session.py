@@ -8,7 +8,6 @@ expansion, level push-down), which cut their lineage once per round.
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -17,10 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder of the session, setting it if needed.
 
-    Order: a folder already set on the context, then the cluster's
-    ``spark.checkpoint.dir``. Only a local master without either falls back
-    to a fresh folder under the system temp dir (tests, the bench); on a
-    cluster that would be machine-local, so it is an error there.
+    Order: a folder already set on the context, then the session's
+    ``spark.checkpoint.dir``, then a folder in the session's warehouse, which
+    the driver and all executors share.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -32,16 +30,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
             configured = spark.conf.get("spark.checkpoint.dir")
         except Exception:  # noqa: BLE001 - unset key raises on some versions
             configured = None
-    if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir()
-    if sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="strata-ckpt-"))
-        return sc.getCheckpointDir()
-    raise RuntimeError(
-        "spark.checkpoint.dir is not set; point it at a shared folder "
-        "(HDFS/S3/ABFS) so iterative operators survive executor loss"
-    )
+    sc.setCheckpointDir(configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints")
+    return sc.getCheckpointDir()
 
 
 def cut(df: DataFrame) -> DataFrame:

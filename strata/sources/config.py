@@ -73,8 +73,8 @@ def explode_parents(config: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame
 
 
 def explode_tenants(df: DataFrame) -> DataFrame:
-    """One row per tenant of a tenant list."""
-    return df.withColumn("tenant_id", F.explode("tenant_id"))
+    """One row per tenant of a tenant list; a row without tenants stays, with a null one."""
+    return df.withColumn("tenant_id", F.explode_outer("tenant_id"))
 
 
 def config_edges(config: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:

@@ -104,3 +104,26 @@ def test_inverted_path_order(spark):
                                   ("1", "t", "h", "h", "Ad Period", "Ad Year")], HIER_SCHEMA)
     inv = sorted((r.step, r.parent_level, r.child_level) for r in H.invert_path(hier).collect())
     assert inv == [(1, "Ad Year", "Ad Period"), (2, "Ad Period", "Ad Week"), (3, "Ad Week", "Day")]
+
+
+def test_tenants_of_one_dimension_count_its_edges_once(spark):
+    rows = [(t, "d", c, p) for t in (1, 2) for c, p in (("a", "b"), ("b", "a"), ("c", "d"))]
+    e = spark.createDataFrame(rows, "tenant_id int, dimension_id string, child string, parent string")
+    from strata.operators import edges, peel
+    got = peel.validity(e, ["dimension_id"]).first()
+    assert (got.n_edges, got.n_residue, got.reason) == (3, 2, "CYCLE")
+    assert edges.profile(e, ["dimension_id"]).first().n_edges == 3
+
+
+def test_rows_without_tenant_keep_their_edges(spark):
+    from strata.sources import config
+    lines = spark.createDataFrame([("|d|a|b",), ("1,2|d|b|c",)], "line string")
+    got = config.config_edges(config.parse_dimension_lines(lines)).select("child", "parent").distinct().count()
+    assert got == 2
+
+
+def test_malformed_hierarchy_body_is_rejected(spark):
+    from strata.operators.hierarchy import json_single_parent
+    bodies = spark.createDataFrame([("1", "not json"), ("2", "{}"), ("3", '{"a":["b"]}'), ("4", '{"a":["b","c"]}')], "k string, body string")
+    got = {r.k: r.single_parent for r in json_single_parent(bodies, ["k"]).collect()}
+    assert got == {"1": False, "2": True, "3": True, "4": False}
