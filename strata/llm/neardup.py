@@ -15,7 +15,9 @@ pairs are verified on whole texts: sum of minima over sum of maxima of the count
 the connected components of the verified links; a pair that shares a band is left out only if it is in one class.
 
 With 24 bands a pair of likeness 0.8 shares none with probability 3e-6. The estimate lets pass what agrees in at least
-``MARGIN`` less than the threshold (four standard deviations of the estimate), and a pair is passed in one band only.
+four standard deviations less than the threshold, and a pair is passed in one band only. In the third round, where
+thousands of texts a little below the threshold may meet, the nodes that are left get a second, longer signature, whose
+estimate is twice as sharp; signing all documents with it would cost more than it saves.
 
 Defined results: a text of one to four words is one shingle; texts without words are classes of equal texts; a null
 text is a class of its own id; a class is named by its smallest doc_id (null if all are null); equal rows are copies.
@@ -25,6 +27,7 @@ An empty table gives no rows. Other columns are not read.
 from __future__ import annotations
 
 from hashlib import blake2b
+from typing import NamedTuple
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -37,8 +40,22 @@ from strata.llm.decontaminate import words_of
 from strata.session import cut
 
 SHINGLE, THRESHOLD = 5, 0.8
-SIZE, BANDS = 96, 24
-MARGIN = 0.16
+BANDS = 24
+
+
+class Sketch(NamedTuple):
+    """``size`` places of a signature, of which ``bits`` bits each are kept, ``packed`` of them in a long with a free bit
+    for counting above each. ``margin`` is four standard deviations of the share that agrees, at the threshold."""
+
+    size: int
+    bits: int
+    packed: int
+    margin: float
+
+
+COARSE = Sketch(96, 14, 4, 0.16)
+FINE = Sketch(504, 7, 7, 0.072)
+SIZE = COARSE.size
 
 _U = np.uint64
 _word: dict[bytes, int] = {}
@@ -108,29 +125,29 @@ def intervals(elements: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np
     return np.concatenate(ids), np.concatenate(widths), np.concatenate(caps)
 
 
-def signatures_of(sets: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """A row of SIZE numbers for each (non-empty) multiset; equal ones stand for the same earliest point."""
-    rows = np.full((len(sets), SIZE), np.inf)
+def signatures_of(sets: list[tuple[np.ndarray, np.ndarray]], size: int = SIZE) -> np.ndarray:
+    """A row of ``size`` numbers for each (non-empty) multiset; equal ones stand for the same earliest point."""
+    rows = np.full((len(sets), size), np.inf)
     todo, slack = np.arange(len(sets)), 4.0
     while len(todo):
         parts = [intervals(*sets[i]) for i in todo]
         ident, rate, cap = (np.concatenate(x) for x in zip(*parts))
-        horizon = SIZE * (np.log(SIZE) + slack) / np.array([float(sets[i][1].sum()) for i in todo])
+        horizon = size * (np.log(size) + slack) / np.array([float(sets[i][1].sum()) for i in todo])
         at = np.repeat(np.arange(len(todo)), [len(p[0]) for p in parts])
-        best, time, step = np.full(len(todo) * SIZE, np.inf), np.zeros(len(ident)), 0
+        best, time, step = np.full(len(todo) * size, np.inf), np.zeros(len(ident)), 0
         while len(ident):
             step += 1
             draw = mix(ident ^ mix(np.full(1, step, _U)))
             time = time - np.log(uniform(draw)) / rate
             alive = time < horizon[at]
             ident, time, rate, cap, at, draw = (x[alive] for x in (ident, time, rate, cap, at, draw))
-            place = at * SIZE + (mix(draw + _U(1)) % _U(SIZE)).astype(np.int64)
+            place = at * size + (mix(draw + _U(1)) % _U(size)).astype(np.int64)
             taken = (cap >= 1) | (uniform(mix(draw + _U(2))) < cap)
             np.minimum.at(best, place[taken], time[taken])
-        best = best.reshape(-1, SIZE)
+        best = best.reshape(-1, size)
         full = np.isfinite(best).all(axis=1)
         rows[todo[full]] = best[full]
-        todo, slack = todo[~full], slack * 2 + SIZE  # a place was left empty before the horizon: look further
+        todo, slack = todo[~full], slack * 2 + size  # a place was left empty before the horizon: look further
     return (mix(rows.view(_U)) >> _U(32)).astype(np.uint32)
 
 
@@ -141,9 +158,22 @@ def overlap(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
     return least / max(int(a[1].sum() + b[1].sum()) - least, 1)
 
 
-#: A long of the sketch holds the places of one band; each has 14 bits, and one that stays free for counting.
-PACKED, PLACE_BITS = SIZE // BANDS, 14
-SKETCH = [f"s{i}" for i in range(SIZE // PACKED)]
+def packed(sigs: np.ndarray, sketch: Sketch) -> list[list[int]]:
+    """The longs of each signature."""
+    places = (sigs & np.uint32((1 << sketch.bits) - 1)).astype(np.int64).reshape(len(sigs), -1, sketch.packed)
+    return (places << (np.arange(sketch.packed) * (sketch.bits + 1))).sum(axis=2).tolist()
+
+
+def differing(a: Column, b: Column, sketch: Sketch) -> Column:
+    """How many places of two longs differ: a place of their difference that isn't zero carries into its free bit when
+    all its bits are added."""
+    at = [i * (sketch.bits + 1) for i in range(sketch.packed)]
+    ones, free = (F.lit(sum(x << i for i in at)) for x in ((1 << sketch.bits) - 1, 1 << sketch.bits))
+    return F.bit_count((a.bitwiseXOR(b) + ones).bitwiseAND(free))
+
+
+#: A long of the coarse sketch holds the places of one band.
+SKETCH = [f"s{i}" for i in range(COARSE.size // COARSE.packed)]
 
 
 def signatures(docs: DataFrame) -> DataFrame:
@@ -161,10 +191,8 @@ def signatures(docs: DataFrame) -> DataFrame:
             sigs = signatures_of([sets[i] for i in spoken])
             band = np.broadcast_to(np.arange(BANDS, dtype=_U), (len(spoken), BANDS))
             for r in range(SIZE // BANDS):
-                band = mix(band + (sigs[:, r::SIZE // BANDS] & np.uint32((1 << PLACE_BITS) - 1)).astype(_U))
-            places = (sigs & np.uint32((1 << PLACE_BITS) - 1)).astype(np.int64).reshape(len(spoken), -1, PACKED)
-            sketch = (places << (np.arange(PACKED) * (PLACE_BITS + 1))).sum(axis=2)
-            for i, own, row in zip(spoken, sketch.tolist(), band.view(np.int64).tolist()):
+                band = mix(band + (sigs[:, r::SIZE // BANDS] & np.uint32((1 << COARSE.bits) - 1)).astype(_U))
+            for i, own, row in zip(spoken, packed(sigs, COARSE), band.view(np.int64).tolist()):
                 out["sketch"][i], out["bands"][i] = own, row
         return out
 
@@ -172,17 +200,28 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 
 def alike(threshold: float) -> Column:
-    """Can nodes a and b reach the threshold by their weights, and do enough places of their sketches agree?
-
-    A place of the sketches' difference that isn't zero carries into its free bit when all its bits are added.
-    """
-    fields = [i * (PLACE_BITS + 1) for i in range(PACKED)]
-    ones, free = F.lit(sum(((1 << PLACE_BITS) - 1) << i for i in fields)), F.lit(sum(1 << (i + PLACE_BITS) for i in fields))
+    """Can nodes a and b reach the threshold by their weights, and do enough places of their coarse sketches agree?"""
     differ = F.lit(0)
     for s in SKETCH:
-        differ = differ + F.bit_count((F.col(f"{s}_a").bitwiseXOR(F.col(f"{s}_b")) + ones).bitwiseAND(free))
+        differ = differ + differing(F.col(f"{s}_a"), F.col(f"{s}_b"), COARSE)
     a, b = F.col("weight_a"), F.col("weight_b")
-    return (F.least(a, b) >= F.greatest(a, b) * threshold) & (differ <= SIZE - int((threshold - MARGIN) * SIZE))
+    return (F.least(a, b) >= F.greatest(a, b) * threshold) & (differ <= COARSE.size - int((threshold - COARSE.margin) * COARSE.size))
+
+
+def closely_alike(threshold: float) -> Column:
+    """Do enough places of the fine sketches of nodes a and b agree?"""
+    differ = F.aggregate(F.zip_with("fine_a", "fine_b", lambda a, b: differing(a, b, FINE)), F.lit(0), lambda n, x: n + x)
+    return differ <= FINE.size - int((threshold - FINE.margin) * FINE.size)
+
+
+def fine_sketches(texts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``x, fine``: the fine sketch of each of the given nodes (``node, did, rk``; with words), from its whole text."""
+    def work(c: dict) -> dict:
+        sets = shingle_lists([plain(z) for z in c["z"]])
+        return {"x": c["node"], "fine": packed(signatures_of(sets, FINE.size), FINE) if sets else []}
+
+    signed = map_rows(nodes.join(texts, KEY).select("node", "z"), work, "x binary, fine array<bigint>")
+    return cut(signed.groupBy("x").agg(F.min("fine").alias("fine")))
 
 
 def first_common_band() -> Column:
@@ -190,9 +229,9 @@ def first_common_band() -> Column:
     return F.coalesce(*[F.when(F.col(f"{s}_a") == F.col(f"{s}_b"), i) for i, s in enumerate(SKETCH)])
 
 
-def side(nodes: DataFrame, name: str) -> DataFrame:
+def side(nodes: DataFrame, name: str, *more: str) -> DataFrame:
     """Columns of ``nodes`` as those of node ``name`` of a pair."""
-    return nodes.select(F.col("node").alias(name), F.col("weight").alias(f"weight_{name}"),
+    return nodes.select(F.col("node").alias(name), *[F.col(k).alias(f"{k}_{name}") for k in ("weight", *more)],
                         *[F.col("sketch")[i].alias(f"{s}_{name}") for i, s in enumerate(SKETCH)],
                         *[F.col("row")[k].alias(f"{k}_{name}") for k in KEY])
 
@@ -260,10 +299,13 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     labels = components(links)
     # what is left: nodes of different classes in one band, paired only if they can be links
     open_bands = cut(mixed_bands(shared, labels))
-    a = open_bands.select("no", "band", "label", F.col("node").alias("a")).join(side(nodes, "a"), "a").withColumnRenamed("label", "label_a")
-    b = open_bands.select("band", "label", F.col("node").alias("b")).join(side(nodes, "b"), "b").withColumnRenamed("label", "label_b")
+    left_over = cut(nodes.join(open_bands.select("node").distinct(), "node", "left_semi"))
+    fine = fine_sketches(texts, left_over.select("node", *[F.col("row")[k].alias(k) for k in KEY]))
+    left_over = cut(left_over.join(fine, F.col("node") == F.col("x")).drop("x"))
+    a = open_bands.select("no", "band", "label", F.col("node").alias("a")).join(side(left_over, "a", "fine"), "a").withColumnRenamed("label", "label_a")
+    b = open_bands.select("band", "label", F.col("node").alias("b")).join(side(left_over, "b", "fine"), "b").withColumnRenamed("label", "label_b")
     across = a.join(b, (a["band"] == b["band"]) & (F.col("a") < F.col("b")) & (F.col("label_a") != F.col("label_b")) & alike(threshold)
-                    & (first_common_band() == F.col("no"))).select(*PAIR).distinct()
+                    & (first_common_band() == F.col("no")) & closely_alike(threshold)).select(*PAIR).distinct()
     links = links.unionByName(verified(texts, across, threshold))
     labels = components(links)
     named = cut(nodes.select("node", "row").join(labels.withColumnRenamed("node", "x"), F.col("node") == F.col("x"), "left")
