@@ -20,7 +20,29 @@ def components(edges: DataFrame) -> DataFrame:
         near = (both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near")))
         better = labels.join(near, "node").select("node", "label", F.least("label", "near").alias("new"))
         up = labels.select(F.col("node").alias("new"), F.col("label").alias("up"))
+        free_shuffles(edges)
         moved = cut(better.join(up, "new").select("node", F.col("label").alias("old"), F.least("new", "up").alias("label")))
         labels = moved.select("node", "label")
         if moved.filter("label != old").isEmpty():
             return labels
+
+
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` after further ``links`` (``a``, ``b``). Only the classes that these join are gone through, each as one
+    node, so the rounds follow what is new."""
+    def named(pairs: DataFrame, end: str) -> DataFrame:
+        own = labels.select(F.col("node").alias(end), F.col("label").alias(f"label_{end}"))
+        return pairs.join(own, end, "left").withColumn(f"label_{end}", F.coalesce(f"label_{end}", end))
+
+    ends = cut(named(named(links, "a"), "b"))
+    new = components(ends.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")).filter("a != b"))
+    new = new.select(F.col("node").alias("label"), F.col("label").alias("new"))
+    nodes = labels.unionByName(ends.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("label_a").alias("label")),
+                                                             F.struct(F.col("b").alias("node"), F.col("label_b").alias("label")))).alias("x"))
+                               .select("x.node", "x.label")).distinct()
+    return cut(nodes.join(new, "label", "left").select("node", F.coalesce("new", "label").alias("label")))
+
+
+def free_shuffles(df: DataFrame) -> None:
+    """Let the driver collect what earlier rounds left, upon which Spark deletes their shuffle files."""
+    df.sparkSession.sparkContext._jvm.System.gc()

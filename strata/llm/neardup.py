@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
 from strata.llm.common import KEY, document_rows, map_rows, plain, rows_of, squeezed, with_key
-from strata.llm.components import components
+from strata.llm.components import components, merged
 from strata.llm.decontaminate import words_of
 from strata.session import cut
 
@@ -245,9 +245,12 @@ def likely(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
 
 
 def verified(texts: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
-    """The pairs whose multisets overlap enough, from whole texts. Both joins bring one text to a row, so a node with
-    very many partners is split like any skewed join."""
-    left, right = (texts.select(*[F.col(k).alias(f"{k}_{x}") for k in KEY], F.col("z").alias(f"z_{x}")) for x in "ab")
+    """The pairs whose multisets overlap enough, from whole texts. Node ``b`` may have very many partners: its texts are
+    cut first, so that its join has two plain shuffles and is split like any skewed join."""
+    pairs = cut(pairs)
+    centres = cut(pairs.select(*[F.col(f"{k}_b").alias(k) for k in KEY]).distinct())
+    left, right = (t.select(*[F.col(k).alias(f"{k}_{x}") for k in KEY], F.col("z").alias(f"z_{x}"))
+                   for x, t in (("a", texts), ("b", cut(texts.join(centres, KEY, "left_semi").drop("doc_id")))))
     both = (pairs.join(left, [f"{k}_a" for k in KEY]).select("a", "b", "z_a", *[f"{k}_b" for k in KEY])
             .join(right, [f"{k}_b" for k in KEY]).select("a", "b", "z_a", "z_b"))
     last: dict[bytes, tuple] = {}
@@ -295,8 +298,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     hubs = cut(open_bands.groupBy("band").agg(F.max(F.struct("degree", "node", "label")).alias("hub")))
     star = (open_bands.join(hubs, "band").filter("label != hub.label")
             .select(F.col("node").alias("a"), F.col("hub.node").alias("b")).distinct())
-    links = links.unionByName(verified(texts, likely(star, nodes, threshold), threshold))
-    labels = components(links)
+    labels = merged(labels, verified(texts, likely(star, nodes, threshold), threshold))
     # what is left: nodes of different classes in one band, paired only if they can be links
     open_bands = cut(mixed_bands(shared, labels))
     left_over = cut(nodes.join(open_bands.select("node").distinct(), "node", "left_semi"))
@@ -306,8 +308,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     b = open_bands.select("band", "label", F.col("node").alias("b")).join(side(left_over, "b", "fine"), "b").withColumnRenamed("label", "label_b")
     across = a.join(b, (a["band"] == b["band"]) & (F.col("a") < F.col("b")) & (F.col("label_a") != F.col("label_b")) & alike(threshold)
                     & (first_common_band() == F.col("no")) & closely_alike(threshold)).select(*PAIR).distinct()
-    links = links.unionByName(verified(texts, across, threshold))
-    labels = components(links)
+    labels = merged(labels, verified(texts, across, threshold))
     named = cut(nodes.select("node", "row").join(labels.withColumnRenamed("node", "x"), F.col("node") == F.col("x"), "left")
                 .select("node", "row", F.coalesce("label", "node").alias("label")))
     lowest = cut(named.groupBy("label").agg(F.min("row").alias("head_row")))
