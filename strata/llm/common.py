@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from uuid import uuid4
 
 import pyarrow as pa
 import zstandard
@@ -11,10 +12,37 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.session import checkpoint_dir
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+class Tables:
+    """Tables that one run writes, in a folder of their own below the session's checkpoint folder.
+
+    ``put`` writes a frame as Parquet and returns the table read again: its lineage is cut, its small files are read
+    several to a task, and its size is known to the planner. ``clear`` deletes what the run needs no more; what a result
+    still reads goes when the driver ends."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.n = spark, 0
+        self.path = f"{checkpoint_dir(spark)}/tables-{uuid4().hex}"
+        self.folder = spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        self.files = self.folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        self.files.mkdirs(self.folder)
+        self.files.deleteOnExit(self.folder)
+
+    def put(self, df: DataFrame) -> DataFrame:
+        self.n += 1
+        df.write.parquet(f"{self.path}/{self.n}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.path}/{self.n}")
+
+    def clear(self) -> None:
+        self.files.delete(self.folder, True)
+
+
 def crc_mod(doc_id: Column, n: int) -> Column:
     """crc32 of the id as text, modulo ``n``; a null id counts as empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n

@@ -34,10 +34,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from strata.llm.common import KEY, document_rows, map_rows, plain, rows_of, squeezed, with_key
+from strata.llm.common import KEY, Tables, document_rows, map_rows, plain, rows_of, squeezed, with_key
 from strata.llm.components import components, merged
 from strata.llm.decontaminate import words_of
-from strata.session import cut
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS = 24
@@ -214,14 +213,14 @@ def closely_alike(threshold: float) -> Column:
     return differ <= FINE.size - int((threshold - FINE.margin) * FINE.size)
 
 
-def fine_sketches(texts: DataFrame, nodes: DataFrame) -> DataFrame:
+def fine_sketches(texts: DataFrame, nodes: DataFrame, tables: Tables) -> DataFrame:
     """``x, fine``: the fine sketch of each of the given nodes (``node, did, rk``; with words), from its whole text."""
     def work(c: dict) -> dict:
         sets = shingle_lists([plain(z) for z in c["z"]])
         return {"x": c["node"], "fine": packed(signatures_of(sets, FINE.size), FINE) if sets else []}
 
     signed = map_rows(nodes.join(texts, KEY).select("node", "z"), work, "x binary, fine array<bigint>")
-    return cut(signed.groupBy("x").agg(F.min("fine").alias("fine")))
+    return tables.put(signed.groupBy("x").agg(F.min("fine").alias("fine")))
 
 
 def first_common_band() -> Column:
@@ -244,13 +243,13 @@ def likely(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
     return pairs.join(side(nodes, "a"), "a").join(side(nodes, "b"), "b").filter(alike(threshold)).select(*PAIR)
 
 
-def verified(texts: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
+def verified(texts: DataFrame, pairs: DataFrame, threshold: float, tables: Tables) -> DataFrame:
     """The pairs whose multisets overlap enough, from whole texts. Node ``b`` may have very many partners: its texts are
-    cut first, so that its join has two plain shuffles and is split like any skewed join."""
-    pairs = cut(pairs)
-    centres = cut(pairs.select(*[F.col(f"{k}_b").alias(k) for k in KEY]).distinct())
+    written first, so that its join has two plain shuffles and is split like any skewed join."""
+    pairs = tables.put(pairs)
+    centres = tables.put(pairs.select(*[F.col(f"{k}_b").alias(k) for k in KEY]).distinct())
     left, right = (t.select(*[F.col(k).alias(f"{k}_{x}") for k in KEY], F.col("z").alias(f"z_{x}"))
-                   for x, t in (("a", texts), ("b", cut(texts.join(centres, KEY, "left_semi").drop("doc_id")))))
+                   for x, t in (("a", texts), ("b", tables.put(texts.join(centres, KEY, "left_semi").drop("doc_id")))))
     both = (pairs.join(left, [f"{k}_a" for k in KEY]).select("a", "b", "z_a", *[f"{k}_b" for k in KEY])
             .join(right, [f"{k}_b" for k in KEY]).select("a", "b", "z_a", "z_b"))
     last: dict[bytes, tuple] = {}
@@ -265,54 +264,57 @@ def verified(texts: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
                 keep.append(i)
         return {k: [c[k][i] for i in keep] for k in ("a", "b")}
 
-    return cut(map_rows(both, work, "a binary, b binary"))
+    return tables.put(map_rows(both, work, "a binary, b binary"))
 
 
-def mixed_bands(shared: DataFrame, labels: DataFrame) -> DataFrame:
+def mixed_bands(shared: DataFrame, labels: DataFrame, tables: Tables) -> DataFrame:
     """``no, band, node, label`` of the bands that hold nodes of several classes."""
-    tagged = cut(shared.join(labels.withColumnRenamed("node", "x"), F.col("node") == F.col("x"), "left")
+    tagged = tables.put(shared.join(labels.withColumnRenamed("node", "x"), F.col("node") == F.col("x"), "left")
                  .select("no", "band", "node", F.coalesce("label", "node").alias("label")))
-    mixed = cut(tagged.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high").select("band"))
+    mixed = tables.put(tagged.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high").select("band"))
     return tagged.join(mixed, "band")
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, did, rk, class_id, first``: the class of every row; ``first`` marks rows equal to the class's first one."""
-    signed = cut(signatures(docs))
+    kept, tables = Tables(docs.sparkSession), Tables(docs.sparkSession)  # the result reads from kept
+    signed = kept.put(signatures(docs))
     texts = squeezed(docs)
     row = F.struct((F.col("doc_id").isNull()).alias("none"), *KEY)
-    nodes = cut(signed.groupBy("node", "weight").agg(F.min(row).alias("row"), F.min("sketch").alias("sketch"), F.min("bands").alias("bands")))
+    nodes = tables.put(signed.groupBy("node", "weight").agg(F.min(row).alias("row"), F.min("sketch").alias("sketch"), F.min("bands").alias("bands")))
     banded = nodes.filter(F.col("bands").isNotNull()).select("node", F.posexplode("bands").alias("no", "band"))
-    # (every aggregate that is joined to its rows is cut: both sides are plain shuffles and a hot key is split)
-    heads = cut(banded.groupBy("band").agg(F.min(F.struct(F.xxhash64("node", "band").alias("h"), "node")).alias("head"), F.count(F.lit(1)).alias("n"))
+    # (every aggregate that is joined to its rows is written: both sides are plain shuffles and a hot key is split)
+    heads = tables.put(banded.groupBy("band").agg(F.min(F.struct(F.xxhash64("node", "band").alias("h"), "node")).alias("head"), F.count(F.lit(1)).alias("n"))
                 .filter("n > 1").select("band", F.col("head.node").alias("head")))
-    together = cut(banded.join(heads, "band"))
+    together = tables.put(banded.join(heads, "band"))
     star = together.filter("node != head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
-    links = verified(texts, likely(star, nodes, threshold), threshold)
-    labels = components(links)
+    links = verified(texts, likely(star, nodes, threshold), threshold, tables)
+    labels = components(links, tables)
     # the node of most links in each band
     shared = together.select("no", "band", "node")
-    degree = cut(links.select("a").unionByName(links.select(F.col("b").alias("a"))).groupBy(F.col("a").alias("x")).agg(F.count(F.lit(1)).alias("degree")))
-    open_bands = cut(mixed_bands(shared, labels).join(degree, F.col("node") == F.col("x"), "left")
+    degree = tables.put(links.select("a").unionByName(links.select(F.col("b").alias("a"))).groupBy(F.col("a").alias("x")).agg(F.count(F.lit(1)).alias("degree")))
+    open_bands = tables.put(mixed_bands(shared, labels, tables).join(degree, F.col("node") == F.col("x"), "left")
                      .select("band", "node", "label", F.coalesce("degree", F.lit(0)).alias("degree")))
-    hubs = cut(open_bands.groupBy("band").agg(F.max(F.struct("degree", "node", "label")).alias("hub")))
+    hubs = tables.put(open_bands.groupBy("band").agg(F.max(F.struct("degree", "node", "label")).alias("hub")))
     star = (open_bands.join(hubs, "band").filter("label != hub.label")
             .select(F.col("node").alias("a"), F.col("hub.node").alias("b")).distinct())
-    labels = merged(labels, verified(texts, likely(star, nodes, threshold), threshold))
+    labels = merged(labels, verified(texts, likely(star, nodes, threshold), threshold, tables), tables)
     # what is left: nodes of different classes in one band, paired only if they can be links
-    open_bands = cut(mixed_bands(shared, labels))
-    left_over = cut(nodes.join(open_bands.select("node").distinct(), "node", "left_semi"))
-    fine = fine_sketches(texts, left_over.select("node", *[F.col("row")[k].alias(k) for k in KEY]))
-    left_over = cut(left_over.join(fine, F.col("node") == F.col("x")).drop("x"))
+    open_bands = tables.put(mixed_bands(shared, labels, tables))
+    left_over = tables.put(nodes.join(open_bands.select("node").distinct(), "node", "left_semi"))
+    fine = fine_sketches(texts, left_over.select("node", *[F.col("row")[k].alias(k) for k in KEY]), tables)
+    left_over = tables.put(left_over.join(fine, F.col("node") == F.col("x")).drop("x"))
     a = open_bands.select("no", "band", "label", F.col("node").alias("a")).join(side(left_over, "a", "fine"), "a").withColumnRenamed("label", "label_a")
     b = open_bands.select("band", "label", F.col("node").alias("b")).join(side(left_over, "b", "fine"), "b").withColumnRenamed("label", "label_b")
     across = a.join(b, (a["band"] == b["band"]) & (F.col("a") < F.col("b")) & (F.col("label_a") != F.col("label_b")) & alike(threshold)
                     & (first_common_band() == F.col("no")) & closely_alike(threshold)).select(*PAIR).distinct()
-    labels = merged(labels, verified(texts, across, threshold))
-    named = cut(nodes.select("node", "row").join(labels.withColumnRenamed("node", "x"), F.col("node") == F.col("x"), "left")
+    labels = merged(labels, verified(texts, across, threshold, tables), tables)
+    named = tables.put(nodes.select("node", "row").join(labels.withColumnRenamed("node", "x"), F.col("node") == F.col("x"), "left")
                 .select("node", "row", F.coalesce("label", "node").alias("label")))
-    lowest = cut(named.groupBy("label").agg(F.min("row").alias("head_row")))
-    named = cut(named.join(lowest, "label").select("node", "head_row"))
+    lowest = tables.put(named.groupBy("label").agg(F.min("row").alias("head_row")))
+    named = kept.put(named.join(lowest, "label").select("node", "head_row"))
+    tables.clear()
+    texts.unpersist()
     head = F.col("head_row")
     return signed.select("doc_id", *KEY, "node").join(named, "node").select(
         "doc_id", *KEY, F.when(~head["none"], head["did"]).alias("class_id"),
