@@ -55,6 +55,15 @@ def edge_table_validity(spark, sf_dir):
                       empty_is_valid=True)
 
 
+@query
+def edge_table_validity_all(spark, sf_dir):
+    """D2 over every row of ``dim_edges``: all (tenant, dimension) groups, with the
+    dimensions that a customer declares and no order gives a parent as empty ones."""
+    edges = FX.dim_edges(spark, sf_dir)
+    groups = edges.select(*TD).unionByName(FX.declared_dimensions(spark, sf_dir))
+    return P.validity(edges, TD, groups=groups, empty_is_valid=True)
+
+
 @query
 def valid_dimensions(spark, sf_dir):
     """D3: the edges of the valid dimensions."""

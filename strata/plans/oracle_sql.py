@@ -79,6 +79,23 @@ SELECT grp.tenant_id, grp.dimension_id, coalesce(cnt.n_edges, 0) AS n_edges,
   coalesce(rc.n_residue, 0) = 0 AS valid
 FROM grp LEFT JOIN cnt USING (tenant_id, dimension_id) LEFT JOIN rc USING (tenant_id, dimension_id)"""
 
+#: Restated from SURVEY D2 over all rows: an edge stays iff its parent is on a cycle or leads up to one.
+EDGE_TABLE_VALIDITY_ALL = f"""WITH RECURSIVE e AS ({DIM_EDGES}),
+up AS (SELECT tenant_id, dimension_id, child AS low, parent AS high FROM e
+       UNION SELECT up.tenant_id, up.dimension_id, up.low, e.parent FROM up
+       JOIN e ON e.tenant_id = up.tenant_id AND e.dimension_id = up.dimension_id AND e.child = up.high),
+circle AS (SELECT tenant_id, dimension_id, low AS node FROM up WHERE low = high),
+bad AS (SELECT tenant_id, dimension_id, node FROM circle
+        UNION SELECT up.tenant_id, up.dimension_id, up.low FROM up
+        JOIN circle c ON c.tenant_id = up.tenant_id AND c.dimension_id = up.dimension_id AND c.node = up.high),
+grp AS (SELECT tenant_id, dimension_id FROM e
+        UNION SELECT CAST(c_custkey % 4 AS INT), 'D' || c_custkey FROM customer),
+cnt AS (SELECT e.tenant_id, e.dimension_id, count(*) AS n_edges, count(bad.node) AS n_residue FROM e
+        LEFT JOIN bad ON bad.tenant_id = e.tenant_id AND bad.dimension_id = e.dimension_id AND bad.node = e.parent GROUP BY ALL)
+SELECT grp.tenant_id, grp.dimension_id, coalesce(n_edges, 0) AS n_edges, coalesce(n_residue, 0) AS n_residue,
+  CASE WHEN n_residue > 0 THEN 'CYCLE' END AS reason, coalesce(n_residue, 0) = 0 AS valid
+FROM grp LEFT JOIN cnt USING (tenant_id, dimension_id)"""
+
 VALID_DIMENSIONS = f"""{_with_residue(DIM_EDGES)}
 SELECT tenant_id, dimension_id, child, parent FROM e WHERE dimension_id NOT IN (SELECT g FROM cyc)"""
 
@@ -442,6 +459,7 @@ SELECT g AS dimension_id, node, CAST(level AS INTEGER) AS level,
 ORACLES: dict[str, str] = {
     "dim_validity": DIM_VALIDITY,
     "edge_table_validity": EDGE_TABLE_VALIDITY,
+    "edge_table_validity_all": EDGE_TABLE_VALIDITY_ALL,
     "valid_dimensions": VALID_DIMENSIONS,
     "cycle_residue": CYCLE_RESIDUE,
     "edge_set": DIM_EDGES,

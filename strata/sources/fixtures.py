@@ -50,6 +50,13 @@ def dim_edges(spark: SparkSession, sf_dir: str, open_only: bool = False) -> Data
     return o.select(*_order_edge_columns(o)).distinct()
 
 
+def declared_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The (tenant, dimension) of every customer, with orders or without."""
+    c = table(spark, sf_dir, "customer", "c_custkey")
+    return c.select((F.col("c_custkey") % 4).cast("int").alias("tenant_id"),
+                    F.concat(F.lit("D"), _s(F.col("c_custkey"))).alias("dimension_id")).distinct()
+
+
 def hier_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One hierarchy path per (customer, order year), levels as in ``dim_edges``."""
     o = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate")
