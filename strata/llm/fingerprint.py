@@ -1,8 +1,11 @@
 """Document fingerprints: Merkle trees over paragraphs and sections (operator 7).
 
-Leaves are sentences of 80 to 400 characters (longer runs are cut at white space), paragraphs are lines, and a section
-ends behind a paragraph whose digest says so, so an edit moves no border but its own. A paragraph's digest is that of
-its leaves, a section's that of its paragraphs, the root that of the sections. The fingerprint is written as
+Leaves end 80 to 160 characters on: of the ends of sentences there, behind the one before which the hash of the last 12
+characters is least; where there is none, with the first sentence that ends within 400 characters; else behind white
+space, else behind a character, again where the hash is least. Paragraphs are lines, and a section ends behind a
+paragraph whose digest says so. Borders follow from the text near them, so behind an edit they soon fall where they
+fell before. A paragraph's digest is that of its leaves, a section's that of its paragraphs, the root that of the
+sections. The fingerprint is written as
 
     ROOT:LEAF.LEAF,LEAF;LEAF...      leaves by ".", paragraphs by ",", sections by ";"
 
@@ -24,6 +27,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from hashlib import blake2b, sha256
+from zlib import crc32
 
 import pyarrow as pa
 from pyspark import StorageLevel
@@ -32,8 +36,10 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import keyed, map_rows
 
-#: A leaf: from 80 characters on up to a sentence's end; else up to 400 and white space; else 400.
-LEAF = re.compile(r".{80,400}?[.!?|]\s+|.{1,399}(?:\s|$)|.{1,400}", re.S)
+#: Where a leaf can end, the best first, and what the hash of such a border reads.
+SENTENCE = re.compile(r"[.!?|]\s+")
+SPACE = re.compile(r"\s+")
+LEAST, USUAL, GREATEST, SEEN = 80, 160, 400, 12
 LEAF_BYTES, SECTION_OF = 5, 4
 
 Tree = tuple[str, list[tuple[str, list[tuple[str, list[str]]]]]]
@@ -43,11 +49,30 @@ def digest(text: bytes, size: int = LEAF_BYTES) -> str:
     return blake2b(text, digest_size=size).hexdigest()
 
 
+def leaves_of(line: str) -> list[str]:
+    """The line cut at borders that its text sets; less than two of the least length stay whole."""
+    out, at = [], 0
+    while at < len(line):
+        first, last = at + LEAST, min(at + USUAL, len(line))
+        if ends := [m.end() for m in SENTENCE.finditer(line, first, last)]:
+            pass
+        elif m := SENTENCE.search(line, first, at + GREATEST):
+            ends = [m.end()]
+        elif len(line) - at < 2 * LEAST:
+            ends = [len(line)]
+        else:
+            ends = [m.end() for m in SPACE.finditer(line, first, last)] or range(first, last + 1)
+        end = ends[0] if len(ends) == 1 else min(ends, key=lambda p: crc32(line[p - SEEN:p].encode("utf-8")))
+        out.append(line[at:end])
+        at = end
+    return out
+
+
 def tree(text: str) -> Tree:
     """Root, and sections of paragraphs of leaves, each with its digest."""
     sections, section = [], []
     for line in text.split("\n") if text else []:
-        leaves = [digest(m.group().encode("utf-8")) for m in LEAF.finditer(line)]
+        leaves = [digest(x.encode("utf-8")) for x in leaves_of(line)]
         name = digest("".join(leaves).encode(), 8)
         section.append((name, leaves))
         if int(name[:2], 16) % SECTION_OF == 0:
