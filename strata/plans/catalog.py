@@ -214,9 +214,8 @@ def _dims_open(spark, sf_dir):
 
 @query
 def hier_path(spark, sf_dir):
-    """A2: one path per hierarchy, entries ``from>to`` sorted (bounded group)."""
+    """A2: one path per hierarchy, entries ``from>to`` sorted; the text of one path is one row."""
     pe = H.path_edges(_hier(spark, sf_dir))
-    E.require_group_bound(pe, HK, 100_000)
     return pe.groupBy(*HK).agg(
         F.count(F.lit(1)).alias("n_edges"),
         F.array_join(F.array_sort(F.collect_list(F.concat_ws(">", "from_level", "to_level"))), ";")
@@ -261,9 +260,9 @@ def valid_hierarchies(spark, sf_dir):
 
 @query
 def path_explode(spark, sf_dir):
-    """Valid paths as maps, exploded back into named key/value columns."""
-    maps = E.path_maps(H.valid_hierarchies(_hier(spark, sf_dir), _dims_open(spark, sf_dir)), HK)
-    return maps.select(*HK, F.explode("path").alias("child_level", "parent_level"))
+    """Valid paths as named key/value columns, in row form: no map of a path is built."""
+    pe = H.path_edges(H.valid_hierarchies(_hier(spark, sf_dir), _dims_open(spark, sf_dir)))
+    return pe.select(*HK, F.col("from_level").alias("child_level"), F.col("to_level").alias("parent_level"))
 
 
 @query
@@ -461,5 +460,8 @@ def element_edges_csv(spark, sf_dir):
 
 @query
 def element_payloads(spark, sf_dir):
-    """One JSON payload per (hierarchy, tenant) of the calendars."""
-    return SK.hierarchy_payloads(hier_elements(spark, sf_dir), FX.calendar_hierarchies(spark))
+    """One JSON payload per path edge and element edge of the calendars and
+    of the valid generic hierarchies."""
+    generic = cut(_valid_generic(spark, sf_dir))
+    calendars = SK.hierarchy_payloads(hier_elements(spark, sf_dir), FX.calendar_hierarchies(spark))
+    return calendars.unionByName(SK.hierarchy_payloads(X.expand(generic, seed=SEED).edges, generic))

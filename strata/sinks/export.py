@@ -3,10 +3,9 @@
 The reference collects every result to the driver and joins strings there.
 Here each sink is a distributed writer; the text forms (``to_json``,
 ``to_csv``) are column expressions, so a caller can also keep them as a
-DataFrame. Grouped payloads (one JSON array per hierarchy) gather a group in
-one row and are therefore built only behind a checked bound; the scalable
-form of the same data is ``write_partitioned`` (one folder per tenant and
-hierarchy).
+DataFrame. Payloads are rows (one JSON object per edge, keyed by the
+hierarchy); ``write_partitioned`` writes them as one folder per tenant and
+hierarchy. The report's map of a dimension is still built behind a bound.
 """
 
 from __future__ import annotations
@@ -37,23 +36,17 @@ def csv_lines(df: DataFrame, columns: list[str] = ELEMENT_EDGE_COLUMNS) -> DataF
     return df.select(F.to_csv(F.struct(*columns)).alias("line"))
 
 
-def hierarchy_payloads(element_edges: DataFrame, path_edges: DataFrame,
-                       bound: int = 100_000) -> DataFrame:
-    """``hierarchy_id, tenant_id, payload`` - per (hierarchy, tenant) one
-    JSON object with the hierarchy ``path`` and the array of its element edges.
+def hierarchy_payloads(element_edges: DataFrame, path_edges: DataFrame) -> DataFrame:
+    """The four hierarchy keys, ``kind`` and ``payload``: one JSON object per
+    path edge (``path``) and per element edge (``element``) of every hierarchy.
 
-    A payload is one row built in one task, so the largest group is checked
-    first against ``bound`` (100,000 edges, some 20 MB of JSON); above it use
-    ``write_partitioned``, one folder per tenant and hierarchy."""
-    group = ["hierarchy_id", "tenant_id"]
-    E.require_group_bound(element_edges, group, bound)
-    paths = E.path_maps(path_edges, HIER_KEYS, FROM, TO, bound=bound)
-    rows = element_edges.join(paths, HIER_KEYS, "left")
-    agg = rows.groupBy(*group).agg(
-        # Deterministic: the path of the smallest (dimension, name) in the group.
-        F.min_by("path", F.concat_ws("|", "dimension_id", "hierarchy_name")).alias("path"),
-        F.array_sort(F.collect_list(F.struct(*ELEMENT_EDGE_COLUMNS))).alias("elements"))
-    return agg.select(*group, F.to_json(F.struct("path", "elements")).alias("payload"))
+    Hierarchies that share id and tenant across dimensions stay apart, and no
+    hierarchy is gathered in one row, so its size has no bound."""
+    paths = E.edge_set(path_edges, HIER_KEYS, FROM, TO).select(
+        *HIER_KEYS, F.lit("path").alias("kind"), F.to_json(F.struct(*HIER_KEYS, FROM, TO)).alias("payload"))
+    elements = element_edges.select(
+        *HIER_KEYS, F.lit("element").alias("kind"), F.to_json(F.struct(*ELEMENT_EDGE_COLUMNS)).alias("payload"))
+    return paths.unionByName(elements)
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists",
@@ -71,6 +64,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "err
 
 def write_partitioned(element_edges: DataFrame, path: str, fmt: str = "json",
                       mode: str = "errorifexists") -> None:
-    """X3, large form: element edges under ``tenant_id=/hierarchy_id=`` folders."""
-    write_table(element_edges.repartition("tenant_id", "hierarchy_id"), path, fmt, mode,
-                partition_by=["tenant_id", "hierarchy_id"])
+    """X3, as files: element edges under ``tenant_id=/hierarchy_id=`` folders.
+
+    Every task writes what it holds of a hierarchy; none has to take a whole one."""
+    write_table(element_edges, path, fmt, mode, partition_by=["tenant_id", "hierarchy_id"])
