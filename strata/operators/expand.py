@@ -142,7 +142,15 @@ def sequential_years(groups: DataFrame, by: list[str], order: list[str], seed: i
 
 def edgewise_elements(path_edges: DataFrame, seed: int = 42, anchor: str = DEFAULT_ANCHOR,
                       keys: list[str] = HIER_KEYS) -> DataFrame:
-    """One parent and its children per path edge (v1 generator)."""
+    """One parent and its children per path edge (v1 generator).
+
+    Edges whose parent no rule can parse have no children; ``edgewise`` lists them."""
+    return edgewise(path_edges, seed, anchor, keys).edges
+
+
+def edgewise(path_edges: DataFrame, seed: int = 42, anchor: str = DEFAULT_ANCHOR,
+             keys: list[str] = HIER_KEYS) -> Expansion:
+    """E15/E16 with the rejected path edges, as ``expand`` gives them."""
     pe = path_edges.select(*keys, F.col(FROM).alias("child_level"), F.col(TO).alias("parent_level"))
     is_time = F.col("dimension_id") == "time"
     ad_year = is_time & (F.col("parent_level") == "Ad Year")
@@ -167,5 +175,9 @@ def edgewise_elements(path_edges: DataFrame, seed: int = 42, anchor: str = DEFAU
                   year_periods(F.col("parent_element_id")))
             .otherwise(F.transform(F.sequence(F.lit(1), F.lit(2)),
                                    lambda i: F.concat(F.col("child_level"), F.lit("_id"), i.cast("string")))))
-    out = p.select("*", F.explode(kids).alias("child_element_id"))
-    return out.withColumn("child_element_label", F.col("child_element_id")).select(*V1_COLUMNS)
+    out = p.select("*", F.explode_outer(kids).alias("child_element_id"), kids.isNull().alias("_rejected"))
+    edges = out.filter(~F.col("_rejected")).withColumn("child_element_label", F.col("child_element_id")).select(*V1_COLUMNS)
+    rejected = out.filter("_rejected").select(
+        *keys, "parent_level", "child_level", "parent_element_id", "parent_element_label",
+        F.lit("UNPARSABLE_PARENT_LABEL").alias("reason"))
+    return Expansion(edges=edges, rejected=rejected, rounds=1)

@@ -402,6 +402,13 @@ def edgewise_elements(spark, sf_dir):
     return X.edgewise_elements(pe, seed=SEED)
 
 
+@query
+def edgewise_rejected(spark, sf_dir):
+    """Path edges of ``edgewise_elements`` whose parent no rule can parse."""
+    pe = _valid_generic(spark, sf_dir).unionByName(FX.calendar_hierarchies(spark))
+    return X.edgewise(pe, seed=SEED).rejected
+
+
 # -- levels (T1-T4) ---------------------------------------------------------------
 
 def _levels(spark, sf_dir):

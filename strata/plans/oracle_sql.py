@@ -417,6 +417,12 @@ FROM (
     WHERE NOT (from_level = 'Day' AND to_level = 'Ad Week') AND NOT (from_level = 'Ad Period' AND to_level = 'Ad Year')
 ) x"""
 
+EDGEWISE_REJECTED = f"""{HIER_BASE}, {VALID_PATHS},
+allp AS (SELECT * FROM vpe UNION ALL {CALENDAR})
+SELECT {", ".join(KEYS4)}, to_level AS parent_level, from_level AS child_level, to_level || '_id1' AS parent_element_id,
+  to_level || '_label_id1' AS parent_element_label, 'UNPARSABLE_PARENT_LABEL' AS reason
+FROM allp WHERE dimension_id <> 'time' AND from_level = 'Day' AND to_level = 'Ad Week'"""
+
 # -- levels -----------------------------------------------------------------------
 
 LEVEL_BASE = f"""WITH RECURSIVE e AS ({LEVEL_EDGES}),
@@ -499,6 +505,7 @@ ORACLES: dict[str, str] = {
     "element_edges": ELEMENT_EDGES,
     "sequential_years": SEQUENTIAL_YEARS,
     "edgewise_elements": EDGEWISE_ELEMENTS,
+    "edgewise_rejected": EDGEWISE_REJECTED,
     "node_levels": NODE_LEVELS,
     "node_levels_pushed": NODE_LEVELS_PUSHED,
     "skip_level_edges": SKIP_LEVEL_EDGES,
