@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import chat, decontaminate, fingerprint, html_extract, language, mixing, neardup, pii, quality, repeats
+from strata.llm import chat, decontaminate, filter_audit, fingerprint, html_extract, language, mixing, neardup, pii, quality, repeats
 from strata.llm.common import table
 
 
@@ -52,6 +52,10 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_digest(chat.format_conversations(chat.with_probe(table(spark, sf_dir, "conversations"))))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {"op1_decontaminate": op1_decontaminate, "op2_repeats": op2_repeats, "op3_html": op3_html, "op4_mixing": op4_mixing, "op5_quality": op5_quality, "op6_pii": op6_pii, "op7_fingerprint": op7_fingerprint,
-           "op8_neardup": op8_neardup, "op9_language": op9_language, "op10_chat": op10_chat}
-ORACLES = {"op1_decontaminate": decontaminate.ORACLE, "op4_mixing": mixing.ORACLE, "op10_chat": chat.ORACLE}
+           "op8_neardup": op8_neardup, "op9_language": op9_language, "op10_chat": op10_chat, "op11_filter_audit": op11_filter_audit}
+ORACLES = {"op1_decontaminate": decontaminate.ORACLE, "op4_mixing": mixing.ORACLE, "op10_chat": chat.ORACLE, "op11_filter_audit": filter_audit.ORACLE}
