@@ -4,7 +4,9 @@ Every kept vector is stored twice, in full and as an approximation of ``BITS`` b
 that its component lies in. Cells follow the distribution of all vectors (exact histograms of every dimension), and their
 borders are exact, so for a set of centroids two lookup tables [dimension, cell] -> squared distance give, by 64 lookups
 a centroid, an interval that holds the true distance. Where the interval of one centroid lies below all others the vector
-is decided; a full vector is fetched only where intervals overlap, or where its components are needed because it moved.
+is decided. Where intervals overlap, a third table gives the interval of the difference between the distances from the
+likeliest centroid and from each other one; it is far narrower for centroids near each other, as what both share cancels.
+A full vector is fetched only where that interval holds 0 too, or where its components are needed because it moved.
 
 A round reads the cells alone. It places each vector under the previous and the present centroids; vectors that stay
 where they were, decided by their cells both times, end there. Keys of the others are joined with the full vectors (a
@@ -35,7 +37,7 @@ from strata.llm.common import Tables
 DIMS = 64
 CENTROIDS = 40
 ROUNDS = 5
-BITS = 5
+BITS = 6
 LIMIT = 1 << 27
 #: Rows worked on at once.
 CHUNK = 2048
@@ -124,27 +126,58 @@ class Cells:
         flags = np.unpackbits(packed, axis=1)[:, :DIMS * self.bits].reshape(len(packed), DIMS, self.bits)
         return flags @ (1 << np.arange(self.bits - 1, -1, -1)).astype(np.uint8)
 
-    def tables(self, centroids: np.ndarray) -> np.ndarray:
-        """DIMS x cells x 2k: least squared distance of a cell from each centroid's component, then greatest."""
+    def tables(self, centroids: np.ndarray) -> Lookup:
+        """The lookup tables of a set of centroids."""
         kind = np.int32 if DIMS * (2 * self.greatest + 2) ** 2 < 2 ** 31 else np.int64
         used = self.low < 2 * LIMIT
         low, high = (np.where(used, x, 0)[:, :, None] for x in (self.low, self.high))
         c = centroids.T[:, None, :]
         near = np.maximum(low - c, 0) + np.maximum(c - high, 0)
         far = np.maximum(np.abs(c - low), np.abs(c - high))
-        return np.ascontiguousarray(np.concatenate([near ** 2, far ** 2], axis=2).astype(kind))
+        ahead = np.empty((len(centroids), DIMS, low.shape[1], len(centroids)), kind)
+        for i, own in enumerate(centroids):
+            own = own[:, None, None]
+            # (x - own)^2 - (x - c)^2 is linear in x: its greatest value in a cell is at a border.
+            gap, base = -2 * (own - c), own * own - c * c
+            ahead[i] = np.maximum(low * gap, high * gap) + base
+        return Lookup(np.ascontiguousarray(np.concatenate([near ** 2, far ** 2], axis=2).astype(kind)), ahead)
 
 
 # -- placing vectors --------------------------------------------------------------
 
-def place(cells: np.ndarray, tables: np.ndarray) -> np.ndarray:
-    """The nearest centroid as far as the cells decide it, else -1."""
-    total = tables[0][cells[:, 0]]
+@dataclass
+class Lookup:
+    """``bounds``: dimensions x cells x 2k, least and greatest squared distance of a cell from each centroid's component.
+    ``ahead``: k x dimensions x cells x k, the most by which the distance from the first centroid can exceed the last's."""
+    bounds: np.ndarray
+    ahead: np.ndarray
+
+
+def summed(table: np.ndarray, cells: np.ndarray) -> np.ndarray:
+    """Sums over the dimensions of a table's rows for the cells."""
+    total = table[0][cells[:, 0]]
     for d in range(1, DIMS):
-        total += tables[d][cells[:, d]]
-    k = tables.shape[2] // 2
-    possible = total[:, :k] <= total[:, k:].min(axis=1)[:, None]
-    return np.where(possible.sum(axis=1) == 1, possible.argmax(axis=1), -1)
+        total += table[d][cells[:, d]]
+    return total
+
+
+def place(cells: np.ndarray, lookup: Lookup) -> np.ndarray:
+    """The nearest centroid (of equally near ones the smaller number) as far as the cells decide it, else -1."""
+    total = summed(lookup.bounds, cells)
+    k = total.shape[1] // 2
+    least, most = total[:, :k], total[:, k:]
+    overlap = (least <= most.min(axis=1)[:, None]).sum(axis=1) > 1
+    found = (least.astype(np.int64) + most).argmin(axis=1)
+    open_ = np.flatnonzero(overlap)
+    order = open_[np.argsort(found[open_], kind="stable")]
+    for rows in np.split(order, np.flatnonzero(np.diff(found[order])) + 1):
+        if len(rows):
+            own = found[rows[0]]
+            worst = summed(lookup.ahead[own], cells[rows])
+            worst[:, :own] += 1  # a smaller number wins a tie
+            worst[:, own] = 0
+            found[rows] = np.where((worst <= 0).all(axis=1), own, -1)
+    return found
 
 
 def squared(v: np.ndarray, centroids: np.ndarray) -> np.ndarray:
