@@ -126,31 +126,35 @@ class Cells:
         flags = np.unpackbits(packed, axis=1)[:, :DIMS * self.bits].reshape(len(packed), DIMS, self.bits)
         return flags @ (1 << np.arange(self.bits - 1, -1, -1)).astype(np.uint8)
 
-    def tables(self, centroids: np.ndarray) -> Lookup:
-        """The lookup tables of a set of centroids."""
-        kind = np.int32 if DIMS * (2 * self.greatest + 2) ** 2 < 2 ** 31 else np.int64
+    def lookup(self, centroids: np.ndarray) -> Lookup:
+        """The lookup tables of a set of centroids; each task makes its own from the few borders and centroids."""
         used = self.low < 2 * LIMIT
         low, high = (np.where(used, x, 0)[:, :, None] for x in (self.low, self.high))
-        c = centroids.T[:, None, :]
-        near = np.maximum(low - c, 0) + np.maximum(c - high, 0)
-        far = np.maximum(np.abs(c - low), np.abs(c - high))
-        ahead = np.empty((len(centroids), DIMS, low.shape[1], len(centroids)), kind)
-        for i, own in enumerate(centroids):
-            own = own[:, None, None]
-            # (x - own)^2 - (x - c)^2 is linear in x: its greatest value in a cell is at a border.
-            gap, base = -2 * (own - c), own * own - c * c
-            ahead[i] = np.maximum(low * gap, high * gap) + base
-        return Lookup(np.ascontiguousarray(np.concatenate([near ** 2, far ** 2], axis=2).astype(kind)), ahead)
+        return Lookup(low, high, centroids, np.int32 if DIMS * (2 * self.greatest + 2) ** 2 < 2 ** 31 else np.int64)
 
 
 # -- placing vectors --------------------------------------------------------------
 
-@dataclass
 class Lookup:
-    """``bounds``: dimensions x cells x 2k, least and greatest squared distance of a cell from each centroid's component.
-    ``ahead``: k x dimensions x cells x k, the most by which the distance from the first centroid can exceed the last's."""
-    bounds: np.ndarray
-    ahead: np.ndarray
+    """``bounds``: dimensions x cells x 2k, least and greatest squared distance of a cell from each centroid's component."""
+
+    def __init__(self, low: np.ndarray, high: np.ndarray, centroids: np.ndarray, kind: type):
+        self.low, self.high, self.centroids, self.kind = low, high, centroids, kind
+        c = centroids.T[:, None, :]
+        near = np.maximum(low - c, 0) + np.maximum(c - high, 0)
+        far = np.maximum(np.abs(c - low), np.abs(c - high))
+        self.bounds = np.ascontiguousarray(np.concatenate([near ** 2, far ** 2], axis=2).astype(kind))
+        self.made: dict[int, np.ndarray] = {}
+
+    def ahead(self, own: int) -> np.ndarray:
+        """dimensions x cells x k: the most by which the distance from centroid ``own`` exceeds that from each other one.
+
+        (x - own)^2 - (x - c)^2 is linear in x, so its greatest value in a cell is at a border."""
+        if own not in self.made:
+            c, o = self.centroids.T[:, None, :], self.centroids[own][:, None, None]
+            gap = -2 * (o - c)
+            self.made[own] = (np.maximum(self.low * gap, self.high * gap) + o * o - c * c).astype(self.kind)
+        return self.made[own]
 
 
 def summed(table: np.ndarray, cells: np.ndarray) -> np.ndarray:
@@ -173,7 +177,7 @@ def place(cells: np.ndarray, lookup: Lookup) -> np.ndarray:
     for rows in np.split(order, np.flatnonzero(np.diff(found[order])) + 1):
         if len(rows):
             own = found[rows[0]]
-            worst = summed(lookup.ahead[own], cells[rows])
+            worst = summed(lookup.ahead(int(own)), cells[rows])
             worst[:, :own] += 1  # a smaller number wins a tie
             worst[:, own] = 0
             found[rows] = np.where((worst <= 0).all(axis=1), own, -1)
@@ -284,19 +288,21 @@ def cluster(vectors: DataFrame, k: int = CENTROIDS, rounds: int = ROUNDS, bits:
     stored = write_vectors(kept, cells, tables, name)
 
     def sums_of_all(centroids: np.ndarray) -> np.ndarray:
-        lookup = cells.tables(centroids)
+        def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            lookup = cells.lookup(centroids)
 
-        def work(part: pa.RecordBatch, total: np.ndarray) -> None:
-            v = binary_rows(part.column(1), kind)
-            found = place(cells.decode(binary_rows(part.column(0), np.uint8)), lookup)
-            add(total, v, settle(found, v.astype(np.int64), centroids), 1)
+            def work(part: pa.RecordBatch, total: np.ndarray) -> None:
+                v = binary_rows(part.column(1), kind)
+                found = place(cells.decode(binary_rows(part.column(0), np.uint8)), lookup)
+                add(total, v, settle(found, v.astype(np.int64), centroids), 1)
 
-        return gathered(stored.select("cells", "vec").mapInArrow(lambda b: moved_sums(b, work, k), "cluster int, parts array<bigint>"), k)
+            return moved_sums(batches, work, k)
 
-    def sums_of_moves(before: np.ndarray, now: np.ndarray) -> tuple[np.ndarray, int]:
-        old_table, new_table = cells.tables(before), cells.tables(now)
+        return gathered(stored.select("cells", "vec").mapInArrow(task, "cluster int, parts array<bigint>"), k)
 
+    def sums_of_moves(before: np.ndarray, now: np.ndarray) -> tuple[np.ndarray, int]:
         def undecided(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            old_table, new_table = cells.lookup(before), cells.lookup(now)
             for batch in batches:
                 for at in range(0, batch.num_rows, CHUNK):
                     part = batch.slice(at, CHUNK)
@@ -327,9 +333,10 @@ def cluster(vectors: DataFrame, k: int = CENTROIDS, rounds: int = ROUNDS, bits:
             fetched.append(n)
         before = centroids
         centroids = np.array([[int(s) // int(row[DIMS]) for s in row[:DIMS]] if row[DIMS] else old for row, old in zip(sums, before)], np.int64)
-    lookup, final = cells.tables(centroids), centroids
+    final = centroids
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lookup = cells.lookup(final)
         for batch in batches:
             for at in range(0, batch.num_rows, CHUNK):
                 part = batch.slice(at, CHUNK)
