@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import chat, decontaminate, filter_audit, fingerprint, html_extract, language, mixing, neardup, pii, quality, repeats, vector_file
+from strata.llm import chat, decontaminate, filter_audit, fingerprint, html_extract, language, lm_score, mixing, neardup, pii, quality, repeats, vector_file
 from strata.llm.common import table
 
 
@@ -56,10 +56,14 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.scores(table(spark, sf_dir, "documents"))
+
+
 def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_file.clusters(table(spark, sf_dir, "embeddings"))
 
 
 QUERIES = {"op1_decontaminate": op1_decontaminate, "op2_repeats": op2_repeats, "op3_html": op3_html, "op4_mixing": op4_mixing, "op5_quality": op5_quality, "op6_pii": op6_pii, "op7_fingerprint": op7_fingerprint,
-           "op8_neardup": op8_neardup, "op9_language": op9_language, "op10_chat": op10_chat, "op11_filter_audit": op11_filter_audit, "op13_centroids": op13_centroids}
+           "op8_neardup": op8_neardup, "op9_language": op9_language, "op10_chat": op10_chat, "op11_filter_audit": op11_filter_audit, "op12_lm_score": op12_lm_score, "op13_centroids": op13_centroids}
 ORACLES = {"op1_decontaminate": decontaminate.ORACLE, "op4_mixing": mixing.ORACLE, "op10_chat": chat.ORACLE, "op11_filter_audit": filter_audit.ORACLE, "op13_centroids": vector_file.ORACLE}
