@@ -25,6 +25,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 from math import log10
 from zlib import crc32
 
@@ -36,11 +37,11 @@ from pyspark.sql import functions as F
 from strata.llm import recurrent as R
 from strata.llm.common import Tables, crc_mod
 
-WORDS = 2048
+WORDS = 1024
 SHAPES = 32
 FREQUENT = 1 << 17
 #: Words that a task counts before it passes the counts on.
-HELD_WORDS = 300_000
+HELD_WORDS = 800_000
 WARM_DOCS, WARM_TOKENS = 1000, 4000
 #: Tokens that a task trains on or scores at once (whole documents).
 TRAIN_TOKENS, SCORE_TOKENS = 600_000, 1_500_000
@@ -55,7 +56,12 @@ def words_of(text: bytes | None) -> list[bytes]:
 
 
 def shape_of(word: bytes) -> int:
-    return crc32(word[-2:] + bytes([min(len(word), 12) // 3])) % SHAPES
+    return (crc32(word[-2:]) + min(len(word), 12) // 3) % SHAPES
+
+
+def shape_column() -> Column:
+    """``shape_of`` of a binary column ``word``."""
+    return ((F.crc32(F.expr("right(word, 2)")) + F.floor(F.least(F.length("word"), F.lit(12)) / 3)) % SHAPES).cast("int")
 
 
 def held_out_rule() -> Column:
@@ -70,15 +76,15 @@ def binary_texts(batch: pa.RecordBatch, name: str) -> list[bytes | None]:
 # -- counts -----------------------------------------------------------------------
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    """``word, shape, n_train, n_all`` over all documents; the end is the empty word."""
+    """``word, n_train, n_all`` over all documents; the end is the empty word."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         train, held = Counter(), Counter()
 
         def flush() -> pa.RecordBatch:
             words = list(train.keys() | held.keys())
             out = pa.RecordBatch.from_pydict({
-                "word": pa.array(words, pa.binary()), "shape": pa.array([shape_of(w) for w in words], pa.int32()),
-                "n_train": pa.array([train[w] for w in words], pa.int64()), "n_all": pa.array([train[w] + held[w] for w in words], pa.int64())})
+                "word": pa.array(words, pa.binary()), "n_train": pa.array([train[w] for w in words], pa.int64()),
+                "n_all": pa.array([train[w] + held[w] for w in words], pa.int64())})
             train.clear()
             held.clear()
             return out
@@ -92,8 +98,8 @@ def word_counts(docs: DataFrame) -> DataFrame:
                     yield flush()
         yield flush()
 
-    rows = docs.select("text", held_out_rule().alias("held")).mapInArrow(count, "word binary, shape int, n_train bigint, n_all bigint")
-    return rows.groupBy("word", "shape").agg(F.sum("n_train").alias("n_train"), F.sum("n_all").alias("n_all"))
+    rows = docs.select("text", held_out_rule().alias("held")).mapInArrow(count, "word binary, n_train bigint, n_all bigint")
+    return rows.groupBy("word").agg(F.sum("n_train").alias("n_train"), F.sum("n_all").alias("n_all"))
 
 
 def size_class() -> Column:
@@ -137,12 +143,12 @@ def vocabulary(counts: DataFrame, words: int = WORDS, frequent: int = FREQUENT)
     """The vocabulary, and the size class from which words are frequent."""
     least = frequent_class(counts, frequent)
     rows = counts.filter((size_class() >= least) & (F.col("word") != F.lit(b""))).collect()  # at most ``frequent``
-    rows = sorted(((bytes(r["word"]), r["shape"], r["n_train"]) for r in rows), key=lambda r: (-r[2], r[0]))
+    rows = sorted(((bytes(r["word"]), shape_of(bytes(r["word"])), r["n_train"]) for r in rows), key=lambda r: (-r[2], r[0]))
     own = [r for r in rows if r[2] > 0][:words]
     n_words = max(R.CLASS_WORDS, -(-len(own) // R.CLASS_WORDS) * R.CLASS_WORDS)
     known = F.col("n_train") > 0
     totals = {r["shape"]: (r["n"], r["v"]) for r in counts.filter(known & (F.col("word") != F.lit(b"")))
-              .groupBy("shape").agg(F.sum("n_train").alias("n"), F.count(F.lit(1)).alias("v")).collect()}
+              .groupBy(shape_column().alias("shape")).agg(F.sum("n_train").alias("n"), F.count(F.lit(1)).alias("v")).collect()}
     end = counts.filter(F.col("word") == F.lit(b"")).select("n_train").collect()
     n_end = end[0][0] if end else 0
     shape_n, shape_v = np.zeros(SHAPES), np.zeros(SHAPES)
@@ -183,7 +189,7 @@ def encode(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
                 out: dict[str, list] = {k: [] for k in ("n_tokens", "tokens", "n_known", "base_log", "shape_log", "rare")}
                 for text in binary_texts(part, "text"):
                     words = words_of(text)
-                    at_ = np.fromiter((number(w, -1) for w in words), np.int64, len(words))
+                    at_ = np.fromiter(map(number, words, repeat(-1)), np.int64, len(words))
                     tokens = own[at_]
                     missing = np.flatnonzero(at_ < 0)
                     rare = [words[i] for i in missing]
@@ -221,7 +227,7 @@ def token_arrays(column: pa.Array) -> list[np.ndarray]:
 # -- the network ----------------------------------------------------------------------
 
 def warmed(encoded: DataFrame, net: R.Network, n_docs: int) -> R.Network:
-    """``net`` after two passes over about WARM_DOCS short training documents, in one task."""
+    """``net`` after a pass over about WARM_DOCS short training documents, in one task."""
     share = min(1.0, WARM_DOCS / max(1, n_docs))
     chance = F.pmod(F.xxhash64("key"), F.lit(1 << 30)) / float(1 << 30)
     sample = encoded.filter(~F.col("held_out") & (F.col("n_tokens") <= WARM_TOKENS) & (chance < share)).select("tokens").limit(2 * WARM_DOCS)
@@ -229,11 +235,11 @@ def warmed(encoded: DataFrame, net: R.Network, n_docs: int) -> R.Network:
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         docs = token_arrays(pa.array(sorted(x for b in batches for x in b.column(0).to_pylist()), pa.binary()))
         trainer = R.Trainer(net)
-        for _ in range(2):
-            trainer.feed(docs)
+        trainer.feed(docs)
         yield pa.RecordBatch.from_pydict({"flat": pa.array([trainer.net.flat().tobytes()], pa.binary())})
 
-    return net.like(np.frombuffer(sample.coalesce(1).mapInArrow(learn, "flat binary").collect()[0][0], np.float32))
+    found = sample.coalesce(1).mapInArrow(learn, "flat binary").collect()
+    return net.like(np.frombuffer(found[0][0], np.float32)) if found else net  # an empty table has no task
 
 
 def trained(encoded: DataFrame, net: R.Network) -> R.Network:

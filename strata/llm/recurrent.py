@@ -16,12 +16,12 @@ import numpy as np
 
 HIDDEN = 16
 #: Words of a class with several words.
-CLASS_WORDS = 64
+CLASS_WORDS = 32
 #: Tokens of a training window in each lane, and lanes.
 STEPS, LANES = 24, 256
 #: Tokens of a scoring window in each lane, and most lanes.
 SCORE_STEPS, SCORE_LANES = 64, 512
-RATE = 0.15
+RATE = 0.06
 F32 = np.float32
 
 
@@ -90,34 +90,36 @@ def step(net: Network, h: np.ndarray, gates: np.ndarray) -> tuple[np.ndarray, ..
 
 def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Order that sorts ``values``, the starts of equal runs, and their values."""
-    order = np.argsort(values, kind="stable")
+    order = np.argsort(values.astype(np.int16), kind="stable")  # token numbers are small: a radix sort
     ordered = values[order]
     first = np.flatnonzero(np.diff(ordered, prepend=-1))
     return order, first, ordered[first]
 
 
+def powers(logits: np.ndarray, weights: np.ndarray, bias: np.ndarray, axis: int) -> None:
+    """exp(logits) in place, scaled by row where the weights could lead beyond a float (states lie in -1..1)."""
+    if (np.abs(weights).sum(axis=axis) + np.abs(bias)).max() > 80:
+        logits -= logits.max(axis=1)[:, None]
+    np.exp(logits, out=logits)
+
+
 def log_probabilities(net: Network, hidden: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     """Natural logarithms of P(token | state), rows of ``hidden``."""
     cls = net.class_of(tokens)
-    logits = hidden @ net.cls + net.cls_b
-    top = logits.max(axis=1)
-    out = logits[np.arange(len(cls)), cls] - top
-    logits -= top[:, None]
-    np.exp(logits, out=logits)
-    out -= np.log(logits.sum(axis=1))
+    p = hidden @ net.cls
+    p += net.cls_b
+    powers(p, net.cls, net.cls_b, 0)
+    out = p[np.arange(len(cls)), cls] / p.sum(axis=1)
     order, first, which = runs(cls)
-    ends = np.append(first[1:], len(order))
-    for c, lo, hi in zip(which, first, ends):
+    for c, lo, hi in zip(which, first, np.append(first[1:], len(order))):
         if c >= len(net.word):
             break
         rows = order[lo:hi]
-        inner = hidden[rows] @ net.word[c].T + net.word_b[c]
-        top = inner.max(axis=1)
-        own = inner[np.arange(len(rows)), tokens[rows] % CLASS_WORDS] - top
-        inner -= top[:, None]
-        np.exp(inner, out=inner)
-        out[rows] += own - np.log(inner.sum(axis=1))
-    return out
+        q = hidden[rows] @ net.word[c].T
+        q += net.word_b[c]
+        powers(q, net.word[c], net.word_b[c], 1)
+        out[rows] *= q[np.arange(len(rows)), tokens[rows] % CLASS_WORDS] / q.sum(axis=1)
+    return np.log(np.maximum(out, F32(1e-37)))
 
 
 def lanes_of(lengths: np.ndarray, most: int) -> list[np.ndarray]:
@@ -233,29 +235,29 @@ class Trainer:
         """Adapts the output parameters; the gradient by the states. Losses are means over lanes."""
         net, scale = self.net, F32(1 / max(1, len(tokens) // STEPS))
         cls = net.class_of(tokens)
-        p = hidden @ net.cls + net.cls_b
-        p -= p.max(axis=1)[:, None]
-        np.exp(p, out=p)
-        p /= p.sum(axis=1)[:, None]
-        p[np.arange(len(cls)), cls] -= 1
-        p *= scale
+        p = hidden @ net.cls
+        p += net.cls_b
+        powers(p, net.cls, net.cls_b, 0)
+        p *= (scale / p.sum(axis=1))[:, None]
+        p[np.arange(len(cls)), cls] -= scale
         grad = p @ net.cls.T
         dcls, dbias = hidden.T @ p, p.sum(axis=0)
         order, first, which = runs(cls)
-        for c, lo, hi in zip(which, first, np.append(first[1:], len(order))):
-            if c >= len(net.word):
-                break
+        many = int((which < len(net.word)).sum())
+        dword, dword_b = np.empty((many, *net.word.shape[1:]), F32), np.empty((many, CLASS_WORDS), F32)
+        for i, (c, lo, hi) in enumerate(zip(which[:many], first, np.append(first[1:], len(order)))):
             rows = order[lo:hi]
             own = hidden[rows]
-            q = own @ net.word[c].T + net.word_b[c]
-            q -= q.max(axis=1)[:, None]
-            np.exp(q, out=q)
-            q /= q.sum(axis=1)[:, None]
-            q[np.arange(len(rows)), tokens[rows] % CLASS_WORDS] -= 1
-            q *= scale
+            q = own @ net.word[c].T
+            q += net.word_b[c]
+            powers(q, net.word[c], net.word_b[c], 1)
+            q *= (scale / q.sum(axis=1))[:, None]
+            q[np.arange(len(rows)), tokens[rows] % CLASS_WORDS] -= scale
             grad[rows] += q @ net.word[c]
-            self.adapt("word", q.T @ own, c)
-            self.adapt("word_b", q.sum(axis=0), c)
+            np.matmul(q.T, own, out=dword[i])
+            q.sum(axis=0, out=dword_b[i])
+        self.adapt("word", dword, which[:many])
+        self.adapt("word_b", dword_b, which[:many])
         self.adapt("cls", dcls)
         self.adapt("cls_b", dbias)
         return grad

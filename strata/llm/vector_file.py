@@ -171,7 +171,7 @@ def place(cells: np.ndarray, lookup: Lookup) -> np.ndarray:
     k = total.shape[1] // 2
     least, most = total[:, :k], total[:, k:]
     overlap = (least <= most.min(axis=1)[:, None]).sum(axis=1) > 1
-    found = (least.astype(np.int64) + most).argmin(axis=1)
+    found = (least.astype(np.float64) + most).argmin(axis=1)
     open_ = np.flatnonzero(overlap)
     order = open_[np.argsort(found[open_], kind="stable")]
     for rows in np.split(order, np.flatnonzero(np.diff(found[order])) + 1):
