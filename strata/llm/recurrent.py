@@ -14,11 +14,11 @@ from heapq import heapify, heapreplace
 
 import numpy as np
 
-HIDDEN = 16
+HIDDEN = 12
 #: Words of a class with several words.
 CLASS_WORDS = 32
 #: Tokens of a training window in each lane, and lanes.
-STEPS, LANES = 24, 256
+STEPS, LANES = 24, 512
 #: Tokens of a scoring window in each lane, and most lanes.
 SCORE_STEPS, SCORE_LANES = 64, 512
 RATE = 0.06
