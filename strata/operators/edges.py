@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.operators import salt as S
+
 
 class GroupTooLarge(ValueError):
     """A map-shaped export was asked for a group above its size bound."""
@@ -92,14 +94,14 @@ def root_edges(edges: DataFrame, keys: list[str], child: str = "child",
                parent: str = "parent") -> DataFrame:
     """Edges whose parent is no child in its group (anti join on the node)."""
     children = edges.select(*keys, F.col(child).alias(parent)).distinct()
-    return edges.join(children, [*keys, parent], "left_anti")
+    return S.anti_join(edges, children, [*keys, parent], [child])
 
 
 def edges_minus_roots(edges: DataFrame, keys: list[str], child: str = "child",
                       parent: str = "parent") -> DataFrame:
     """``edges MINUS root_edges`` = distinct edges whose parent is a child."""
     children = edges.select(*keys, F.col(child).alias(parent)).distinct()
-    return edges.join(children, [*keys, parent], "left_semi").distinct()
+    return S.semi_join(edges, children, [*keys, parent], [child]).distinct()
 
 
 def path_start_end(path_edges: DataFrame, keys: list[str], child: str = "from_level",

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from strata.operators import edges as E
 from strata.operators import jump as J
 from strata.operators import peel as P
+from strata.operators import salt as S
 from strata.session import Scope, cut
 
 HIER_KEYS = ["tenant_id", "dimension_id", "hierarchy_id", "hierarchy_name"]
@@ -54,7 +55,7 @@ def edge_membership(pe: DataFrame, dim_edges: DataFrame, keys: list[str] = HIER_
     """Each path edge with ``in_dimension`` (equi-join on dimension, child, parent)."""
     d = (dim_edges.select("dimension_id", F.col("child").alias(FROM), F.col("parent").alias(TO))
          .distinct().withColumn("in_dimension", F.lit(True)))
-    return pe.join(d, ["dimension_id", FROM, TO], "left").select(
+    return S.left_join(pe, d, ["dimension_id", FROM, TO], keys).select(
         *keys, FROM, TO, F.coalesce("in_dimension", F.lit(False)).alias("in_dimension"))
 
 

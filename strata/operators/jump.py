@@ -16,8 +16,8 @@ group is cyclic iff it keeps an unfinished node.
 Plan per round: one left join of the state with itself, the streamed side
 keyed by the pointer, the build side by the node (unique per node). A hot
 pointer (many levels below one node) is on the streamed side of a left outer
-join, which AQE splits. Rounds are persisted and checkpointed to the
-session's reliable folder every ``checkpoint_every`` rounds, like the peel.
+join, which AQE splits. Every round is written once to a table in the
+session's reliable checkpoint folder.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.session import Rounds, cut
+from strata.session import Store
 
 
 @dataclass
@@ -45,33 +45,38 @@ class JumpResult:
 
 
 def jump(edges: DataFrame, keys: list[str], child: str = "child", parent: str = "parent",
-         checkpoint_every: int = 2, max_rounds: int | None = None) -> JumpResult:
-    """Pointer jumping on ``edges``; each ``(keys, child)`` must have at most one parent."""
+         max_rounds: int | None = None, weight: str | None = None) -> JumpResult:
+    """Pointer jumping on ``edges``; each ``(keys, child)`` must have at most one parent.
+
+    ``weight`` names the column that distances add up, else each edge counts 1.
+    Nodes that are done leave the loop: their rows are written once, in the
+    round that finishes them, and only looked up afterwards."""
+    length = F.lit(1) if weight is None else F.col(weight)
     state = edges.filter(F.col(child).isNotNull() & F.col(parent).isNotNull()).select(
         *keys, F.col(child).alias("node"), F.col(parent).alias("root"),
-        F.lit(1).cast("bigint").alias("dist"), F.lit(False).alias("done")).distinct()
-    state = cut(state)
-    rounds_state = Rounds(checkpoint_every)
-    n = state.filter(~F.col("done")).count()
+        length.cast("bigint").alias("dist"), F.lit(False).alias("done")).distinct()
+    store, result = Store(edges.sparkSession), Store(edges.sparkSession)
+    going = store.put(state)
+    n = going.count()
     rounds = 0
     while n > 0:
         if max_rounds is not None and rounds >= max_rounds:
             raise RuntimeError(f"pointer jumping did not settle after {max_rounds} rounds")
-        look = state.select(*keys, F.col("node").alias("root"), F.col("root").alias("_root"),
+        known = going if rounds == 0 else going.unionByName(store.all("rounds").filter("done"))
+        look = known.select(*keys, F.col("node").alias("root"), F.col("root").alias("_root"),
                             F.col("dist").alias("_dist"), F.col("done").alias("_done"))
         hit = F.col("_root").isNotNull()
-        nxt = state.join(look, [*keys, "root"], "left").select(
+        going = store.add(going.join(look, [*keys, "root"], "left").select(
             *keys, "node",
             F.when(hit, F.col("_root")).otherwise(F.col("root")).alias("root"),
             F.when(hit, F.col("dist") + F.col("_dist")).otherwise(F.col("dist")).alias("dist"),
-            (~hit | F.col("_done")).alias("done"))
-        nxt = rounds_state.materialise(nxt)
-        m = nxt.filter(~F.col("done")).count()
+            (~hit | F.col("_done")).alias("done")), "rounds").filter(~F.col("done"))
+        m = going.count()
         rounds += 1
-        state = nxt
         if m == n:
             break
         n = m
-    out = cut(state)
-    rounds_state.release()
+    out = going if rounds == 0 else going.unionByName(store.all("rounds").filter("done"))
+    out = result.put(out)
+    store.clear()
     return JumpResult(state=out, rounds=rounds)

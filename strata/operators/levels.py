@@ -3,8 +3,8 @@
 T1: the round in which the peel removes a node's last outgoing edge, which is
 the length of the longest path from the node up to a root (roots are 0).
 T2: push down - a node with children moves to one above its highest child,
-``min(T2(child)) - 1``; leaves keep T1. Computed bottom-up by min-propagation
-over the edges (Bellman-Ford style); it is exact after ``max(T1)`` rounds.
+``min(T2(child)) - 1``; leaves keep T1. Computed from the leaves up; a node
+is settled once its children are.
 T3: skip-level edges, child level minus parent level >= 2.
 T4: nodes per level and the slot of each node in its level.
 
@@ -19,57 +19,36 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators import edges as E
+from strata.operators import flow as W
 from strata.operators import peel as P
+from strata.operators import salt as S
 from strata.operators.sequence import row_number_by
-from strata.session import Rounds, cut
+from strata.session import cut
 
 
 def node_levels(edges: DataFrame, keys: list[str], child: str = "child",
                 parent: str = "parent") -> tuple[DataFrame, DataFrame]:
     """``keys, node, level`` for acyclic groups; also returns their edges."""
     res = P.peel(edges, keys, child, parent, track_nodes=True)
-    bad = res.residue.select(*keys).distinct()
-    good_edges = cut(res.source.join(bad, keys, "left_anti"))
-    deepest = res.node_rounds.join(bad, keys, "left_anti").select(
-        *keys, "node", F.col("round").alias("level"))
+    bad = cut(res.residue.select(*keys).distinct())
+    good_edges = cut(S.anti_join(res.source, bad, keys, [child, parent]))
     nodes = E.node_set(good_edges, keys, child, parent)
-    levels = cut(nodes.join(deepest, [*keys, "node"], "left").select(
-        *keys, "node", F.coalesce("level", F.lit(0)).cast("int").alias("level")))
+    levels = cut(nodes.join(res.node_rounds, [*keys, "node"], "left").select(
+        *keys, "node", F.coalesce("round", F.lit(0)).cast("int").alias("level")))
     res.release()
     return levels, good_edges
 
 
 def pushed_levels(edges: DataFrame, keys: list[str], child: str = "child",
-                  parent: str = "parent", checkpoint_every: int = 4) -> DataFrame:
+                  parent: str = "parent") -> DataFrame:
     """``keys, node, level`` after pushing nodes down towards their children.
 
-    After r rounds a node holds the minimum over its downward paths of length
-    <= r, so a group is final after as many rounds as its own depth (max T1).
-    Round r therefore joins and aggregates only the edges of groups deeper
-    than r; the others are carried as they are. One deep dimension does not
-    make every shallow one shuffle again."""
+    The leaves keep their T1 and start; a node is settled in the layer in which
+    the last of its children is, and leaves the loop there (``flow``)."""
     t1, good = node_levels(edges, keys, child, parent)
-    depth = t1.agg(F.max("level")).first()[0] or 0
-    gdepth = t1.groupBy(*keys).agg(F.max("level").alias("_gd"))
-    is_parent = good.select(*keys, F.col(parent).alias("node")).distinct().withColumn("_p", F.lit(True))
-    base = t1.join(is_parent, [*keys, "node"], "left").join(gdepth, keys).select(
-        *keys, "node", F.col("level").alias("t1"), F.col("_p").isNull().alias("leaf"), "_gd")
-    base = cut(base)
-    good = cut(good.select(*keys, child, parent).join(gdepth, keys))
-    cur = base.select(*keys, "node", "_gd", F.when(F.col("leaf"), F.col("t1")).alias("level"))
-    state = Rounds(checkpoint_every)
-    for r in range(1, depth + 1):
-        live = F.col("_gd") >= r
-        cand = (good.filter(live).drop("_gd")
-                .join(cur.filter(live).select(*keys, F.col("node").alias(child), "level"), [*keys, child])
-                .filter(F.col("level").isNotNull())
-                .groupBy(*keys, F.col(parent).alias("node")).agg((F.min("level") - 1).alias("cand")))
-        upd = base.filter(live).join(cand, [*keys, "node"], "left").select(
-            *keys, "node", "_gd", F.when(F.col("leaf"), F.col("t1")).otherwise(F.col("cand")).alias("level"))
-        cur = state.materialise(cur.filter(~live).unionByName(upd))
-    out = cut(cur.select(*keys, "node", F.col("level").cast("int").alias("level")))
-    state.release()
-    return out
+    done = W.propagate(good, keys, src=child, dst=parent, weight=-1, best="min",
+                       starts=t1.withColumnRenamed("level", "value"))
+    return done.values.select(*keys, "node", F.col("value").cast("int").alias("level"))
 
 
 def skip_level_edges(edges: DataFrame, levels: DataFrame, keys: list[str], child: str = "child",
@@ -77,6 +56,7 @@ def skip_level_edges(edges: DataFrame, levels: DataFrame, keys: list[str], child
     """Edges spanning two or more levels, with both levels."""
     lc = levels.select(*keys, F.col("node").alias(child), F.col("level").alias("child_level"))
     lp = levels.select(*keys, F.col("node").alias(parent), F.col("level").alias("parent_level"))
+    edges = edges.select(*keys, child, parent).distinct()  # tenants may share an edge
     return (edges.join(lc, [*keys, child]).join(lp, [*keys, parent])
             .filter(F.col("child_level") - F.col("parent_level") >= 2)
             .select(*keys, child, parent, "child_level", "parent_level"))

@@ -8,19 +8,20 @@ is on a cycle or leads up to one.
 
 Plan per round: the edges are semi-joined on (keys, parent) against the
 distinct (keys, child) set, aggregated map-side first. Both sides are keyed by
-a *node*, not by the group, so one hot group spreads over all partitions; AQE
-broadcasts the probe side while it is small (Spark checks the size at run
-time), and a hot child collapses in the partial aggregation. Beyond the
-broadcast size the edges of one hot parent meet in one task: AQE splits a join
-only between plain shuffles, and the distinct probe side is none. For the levels, the live set of
+a *node*, not by the group, so one hot group spreads over all partitions, and
+the edges of a hot parent are split by salts (``salt``: measured once, the
+live row of a hot parent is repeated per salt). For the levels, the live set of
 each round is kept and aggregated once at the end (``track_nodes``).
 
-Fault tolerance and plan size follow the Pregel pattern: every round is
-persisted (memory and disk) and every ``checkpoint_every`` rounds written to
-the session's reliable checkpoint folder, which cuts the lineage. A lost
-executor costs at most ``checkpoint_every`` rounds of recomputation. One count
-per round decides the stop: the peel only removes, so when the total did not
-fall, no group changed.
+Level graphs are shallow, and two such rounds in one job are the cheapest way
+through them. What still falls after ``deep_after`` rounds is handed to
+``flow.propagate``, which uses every edge once and contracts chains, so that a
+chain of n levels needs about log2(n) rounds more and not n.
+
+Rounds are persisted (memory and disk) and every ``checkpoint_every`` jobs
+written to the session's reliable checkpoint folder, which cuts the lineage.
+One count per job decides the stop: the peel only removes, so when the total
+did not fall, no group changed.
 """
 
 from __future__ import annotations
@@ -31,14 +32,13 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.operators import flow as W
+from strata.operators import salt as S
 from strata.session import Rounds, cut
 
-
-class PeelDidNotConverge(RuntimeError):
-    """Raised when ``max_rounds`` is hit while edges are still being removed.
-
-    Such groups are long chains, not cycles; they must never be reported as
-    cyclic."""
+#: Raised when ``max_rounds`` is hit while edges are still being removed: such
+#: groups are deep, not cyclic, and must never be reported as cyclic.
+PeelDidNotConverge = W.DidNotConverge
 
 
 @dataclass
@@ -57,7 +57,7 @@ class PeelResult:
 
 def peel(edges: DataFrame, keys: list[str], child: str = "child", parent: str = "parent",
          max_rounds: int | None = None, checkpoint_every: int = 2, layers_per_job: int = 2,
-         track_nodes: bool = False) -> PeelResult:
+         track_nodes: bool = False, deep_after: int = 12, min_rows: int = S.MIN_ROWS) -> PeelResult:
     """Peel every group of ``edges`` at once.
 
     ``layers_per_job`` layers are chained lazily and run as one Spark job with
@@ -76,13 +76,20 @@ def peel(edges: DataFrame, keys: list[str], child: str = "child", parent: str =
     # Several tenants may share a group: its edges count once.
     source = (edges.select(*cols).filter(F.col(child).isNotNull() & F.col(parent).isNotNull()).distinct()
               .persist(StorageLevel.MEMORY_AND_DISK))
-    cur = source
-    n = cur.count()
+    n = source.count()
+    salting = S.measure(source, [*keys, parent], n, min_rows)
+    cur = salting.streamed(source, [child])
+    deep: W.Flow | None = None
     live_sets: list[DataFrame] = []
     rounds = 0
     while n > 0:
         if max_rounds is not None and rounds >= max_rounds:
             raise PeelDidNotConverge(f"{n} edges still falling after {max_rounds} rounds")
+        if rounds >= deep_after:
+            deep = W.propagate(cut(cur.select(*cols)), keys, src=parent, dst=child, weight=1, best="max", contract_first=True,
+                               max_rounds=None if max_rounds is None else max_rounds - rounds, min_rows=min_rows)
+            cur = S.anti_join(cur.select(*cols), deep.values.select(*keys, F.col("node").alias(parent)), [*keys, parent], [child], min_rows)
+            break
         layer = cur
         lives = []
         for i in range(max(1, layers_per_job)):
@@ -94,7 +101,7 @@ def peel(edges: DataFrame, keys: list[str], child: str = "child", parent: str =
             if track_nodes:
                 live = live.persist(StorageLevel.MEMORY_AND_DISK)
                 lives.append((live, rounds + i + 1))
-            layer = layer.join(live, [*keys, parent], "left_semi")
+            layer = layer.join(salting.probe(live), salting.on, "left_semi")
         nxt = rounds_state.materialise(layer)
         m = nxt.count()
         if m == n:
@@ -106,15 +113,19 @@ def peel(edges: DataFrame, keys: list[str], child: str = "child", parent: str =
         cur, n = nxt, m
         rounds += max(1, layers_per_job)
     node_rounds = None
+    if track_nodes and deep is not None:
+        # Roots of what was left lost their last edge in the last round.
+        live_sets.append((deep.values.select(*keys, F.col("node").alias(parent), F.col("value")), rounds))
     if track_nodes:
         tagged = source.limit(0).select(*keys, F.col(child).alias("node"), F.lit(0).alias("round"))
         for live, r in live_sets:
-            tagged = tagged.unionByName(live.select(*keys, F.col(parent).alias("node"),
-                                                    F.lit(r).alias("round")))
+            own = F.lit(r) + F.col("value").cast("int") if "value" in live.columns and "value" not in cols else F.lit(r)
+            tagged = tagged.unionByName(live.select(*keys, F.col(parent).alias("node"), own.alias("round")))
         node_rounds = cut(tagged.groupBy(*keys, "node").agg(F.max("round").alias("round")))
         for live, _ in live_sets:
             live.unpersist(blocking=False)
-    return PeelResult(residue=cur, node_rounds=node_rounds, rounds=rounds, source=source,
+    rounds += deep.rounds if deep is not None else 0
+    return PeelResult(residue=cur.select(*cols), node_rounds=node_rounds, rounds=rounds, source=source,
                       held=[source, *rounds_state.held])
 
 
@@ -150,7 +161,7 @@ def valid_groups(edges: DataFrame, keys: list[str], child: str = "child",
     result = peel(edges, keys, child, parent)
     bad = cut(result.residue.select(*keys).distinct())
     result.release()
-    return edges.join(bad, keys, "left_anti")
+    return S.anti_join(edges, bad, keys, [child, parent])
 
 
 def cycle_residue(edges: DataFrame, keys: list[str], child: str = "child",

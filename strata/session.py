@@ -8,6 +8,7 @@ expansion, level push-down), which cut their lineage once per round.
 from __future__ import annotations
 
 import os
+from uuid import uuid4
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -97,6 +98,46 @@ class Rounds:
         self.held = []
 
 
+class Store:
+    """Tables that one run of an operator writes, in a folder of its own below the
+    session's checkpoint folder.
+
+    A frame that is written and read again has no lineage (a lost executor costs
+    the task it ran) and a plan of one scan, however many rounds came before.
+    ``add`` appends a round's rows to a table, so rows are written once and a
+    loop ends without a union of its rounds. The folder is deleted by ``clear``,
+    else when the driver ends; both go through the JVM gateway, which a Spark
+    Connect session does not have."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.n = spark, 0
+        self.path = f"{checkpoint_dir(spark)}/store-{uuid4().hex}"
+        self.folder = spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        self.files = self.folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        self.files.mkdirs(self.folder)
+        self.files.deleteOnExit(self.folder)
+        self.schemas: dict[str, object] = {}
+
+    def add(self, df: DataFrame, name: str) -> DataFrame:
+        """Append ``df`` to table ``name``; returns the rows of this round alone."""
+        self.n += 1
+        self.schemas.setdefault(name, df.schema)
+        at = f"{self.path}/{name}/{self.n}"
+        df.write.parquet(at)
+        return self.spark.read.schema(df.schema).parquet(at)
+
+    def put(self, df: DataFrame) -> DataFrame:
+        """``df`` as a table of its own."""
+        return self.add(df, f"one-{self.n}")
+
+    def all(self, name: str) -> DataFrame:
+        """Every row added to table ``name``; at least one round must have been."""
+        return self.spark.read.schema(self.schemas[name]).option("recursiveFileLookup", "true").parquet(f"{self.path}/{name}")
+
+    def clear(self) -> None:
+        self.files.delete(self.folder, True)
+
+
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "strata") -> SparkSession:
     """Session for tests and the bench: local master, AQE on, no UI."""
