@@ -2,8 +2,8 @@
 
 Everything is keyed by (group keys, node) so that no operator gathers a whole
 group in one task. The map-shaped views of the reference (one map per
-dimension or hierarchy) are built only by ``group_maps`` behind a checked
-bound on the group size.
+dimension or hierarchy) are rows here; the JSON report builds maps of bounded
+parts (``sinks.export``).
 """
 
 from __future__ import annotations
@@ -14,10 +14,6 @@ from pyspark.sql import functions as F
 from strata.operators import salt as S
 
 
-class GroupTooLarge(ValueError):
-    """A map-shaped export was asked for a group above its size bound."""
-
-
 def edge_set(edges: DataFrame, keys: list[str], child: str = "child",
              parent: str = "parent") -> DataFrame:
     """S5 ``addEdge``: drop null and repeated edges."""
@@ -63,33 +59,6 @@ def adjacency(edges: DataFrame, keys: list[str], child: str = "child",
     return edges.groupBy(*keys, child).agg(F.array_sort(F.collect_set(parent)).alias("parents"))
 
 
-def require_group_bound(df: DataFrame, keys: list[str], bound: int) -> None:
-    """Check that no group of ``df`` has more than ``bound`` rows (one small job)."""
-    biggest = df.groupBy(*keys).count().agg(F.max("count")).first()[0]
-    if biggest is not None and biggest > bound:
-        raise GroupTooLarge(f"a group of {keys} has {biggest} rows (> {bound}); "
-                            "use the row form instead of a map")
-
-
-def group_maps(edges: DataFrame, keys: list[str], child: str = "child", parent: str = "parent",
-               bound: int = 100_000) -> DataFrame:
-    """A1/A2 map form: ``keys, graph map<child, array<parent>>`` per group.
-
-    Only for groups of a checked size: the whole group becomes one row."""
-    require_group_bound(edges, keys, bound)
-    adj = adjacency(edges, keys, child, parent)
-    return adj.groupBy(*keys).agg(F.map_from_entries(
-        F.array_sort(F.collect_list(F.struct(F.col(child), F.col("parents"))))).alias("graph"))
-
-
-def path_maps(path_edges: DataFrame, keys: list[str], child: str = "from_level",
-              parent: str = "to_level", bound: int = 100_000) -> DataFrame:
-    """A2: ``keys, path map<from, to>`` per hierarchy (single-parent paths only)."""
-    require_group_bound(path_edges, keys, bound)
-    return path_edges.groupBy(*keys).agg(F.map_from_entries(
-        F.array_sort(F.collect_list(F.struct(F.col(child), F.col(parent))))).alias("path"))
-
-
 def root_edges(edges: DataFrame, keys: list[str], child: str = "child",
                parent: str = "parent") -> DataFrame:
     """Edges whose parent is no child in its group (anti join on the node)."""

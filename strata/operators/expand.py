@@ -26,13 +26,14 @@ from strata.functions.draws import draw
 from strata.operators import edges as E
 from strata.operators.hierarchy import FROM, HIER_KEYS, TO
 from strata.operators.sequence import row_number_by
-from strata.session import Rounds, cut
+from strata.session import Store
 
 # The element edge table, columns in this order.
 ELEMENT_EDGE_COLUMNS = [
     "tenant_id", "hierarchy_id", "hierarchy_name", "dimension_id", "child_level", "parent_level",
     "parent_element_id", "child_element_id", "child_element_label", "parent_element_label",
 ]
+REJECT_COLUMNS = ["parent_level", "child_level", "parent_element_id", "parent_element_label", "reason"]
 DEFAULT_ANCHOR = "2023-01-01"
 
 
@@ -60,20 +61,21 @@ def fanout_column(fanout: int | None, seed, keys: list[str]) -> Column:
 
 def expand(valid_pe: DataFrame, roots: DataFrame | None = None, seed: int = 42,
            fanout: int | None = None, anchor: str = DEFAULT_ANCHOR,
-           keys: list[str] = HIER_KEYS, checkpoint_every: int = 4,
-           max_rounds: int | None = None) -> Expansion:
-    """E13/E14. ``roots``: ``keys, level, element_id, element_label``; drawn by E1 if omitted."""
-    inv = valid_pe.select(*keys, F.col(TO).alias("level"), F.col(FROM).alias("child_level")).distinct()
-    inv = cut(inv)
+           keys: list[str] = HIER_KEYS, max_rounds: int | None = None, path_unique_ids: bool = False) -> Expansion:
+    """E13/E14. ``roots``: ``keys, level, element_id, element_label``; drawn by E1 if omitted.
+
+    Each round joins the frontier once, writes its edges and rejects to their
+    tables and keeps only the new frontier. ``path_unique_ids`` puts the
+    parent's id before each child's (``parent/child``), so that an element has
+    one parent and the result is a tree; labels, which the calendar rules read,
+    stay as they are."""
+    store, result = Store(valid_pe.sparkSession), Store(valid_pe.sparkSession)
+    inv = store.put(valid_pe.select(*keys, F.col(TO).alias("level"), F.col(FROM).alias("child_level")).distinct())
     if roots is None:
         roots = top_elements(valid_pe, seed, anchor, keys)
-    state = Rounds(checkpoint_every, keep_all=True)
-    frontier = state.materialise(roots.select(*keys, "level", "element_id", "element_label").distinct())
-    n = frontier.count()
-    edge_parts: list[DataFrame] = []
-    rejected_parts: list[DataFrame] = []
+    frontier = store.put(roots.select(*keys, "level", "element_id", "element_label").distinct())
     rounds = 0
-    while n > 0:
+    while not frontier.isEmpty():
         if max_rounds is not None and rounds >= max_rounds:
             raise RuntimeError(f"expansion did not end after {max_rounds} rounds")
         j = frontier.join(inv, [*keys, "level"])
@@ -82,38 +84,33 @@ def expand(valid_pe: DataFrame, roots: DataFrame | None = None, seed: int = 42,
         # Value-named children that repeat are one element: dedupe inside the
         # array, so that (parent, child) rows are distinct without a shuffle.
         vals = F.when(F.col("child_level").rlike(R.VALUE_NAMED_LEVEL), F.array_distinct(vals)).otherwise(vals)
-        j = state.materialise(j.withColumn("_vals", vals))
-        rejected_parts.append(j.filter(F.col("_vals").isNull()).select(
+        j = j.withColumn("_vals", vals)
+        # A parent without children it can have stays as one row with a null value: the reject.
+        kids = j.select(
             *keys, F.col("level").alias("parent_level"), "child_level",
             F.col("element_id").alias("parent_element_id"),
             F.col("element_label").alias("parent_element_label"),
-            F.lit("UNPARSABLE_PARENT_LABEL").alias("reason")))
-        kids = j.filter(F.col("_vals").isNotNull()).select(
-            *keys, F.col("level").alias("parent_level"), "child_level",
-            F.col("element_id").alias("parent_element_id"),
-            F.col("element_label").alias("parent_element_label"),
-            F.posexplode("_vals").alias("_pos", "_value"))
-        kids = kids.select(
-            *keys, "parent_level", "child_level", "parent_element_id", "parent_element_label",
-            R.child_id(F.col("child_level"), F.col("_value"), F.col("_pos")).alias("child_element_id"),
-            R.child_label(F.col("child_level"), F.col("_value"), F.col("_pos")).alias("child_element_label"),
-        )
-        edge_parts.append(kids.select(*ELEMENT_EDGE_COLUMNS))
-        frontier = state.materialise(kids.select(
+            F.col("_vals").isNull().alias("_rejected"), F.posexplode_outer("_vals").alias("_pos", "_value"))
+        child = R.child_id(F.col("child_level"), F.col("_value"), F.col("_pos"))
+        if path_unique_ids:
+            child = F.concat("parent_element_id", F.lit("/"), child)
+        kids = kids.filter(F.col("_rejected") | F.col("_value").isNotNull()).select(
+            *keys, "parent_level", "child_level", "parent_element_id", "parent_element_label", "_rejected",
+            child.alias("child_element_id"),
+            R.child_label(F.col("child_level"), F.col("_value"), F.col("_pos")).alias("child_element_label"))
+        made = result.add(kids, "rounds")
+        frontier = store.put(made.filter(~F.col("_rejected")).select(
             *keys, F.col("child_level").alias("level"), F.col("child_element_id").alias("element_id"),
             F.col("child_element_label").alias("element_label")).distinct())
-        n = frontier.count()
         rounds += 1
-    edges = frontier.limit(0).select(*[F.lit(None).cast("string").alias(c) for c in ELEMENT_EDGE_COLUMNS])
-    for part in edge_parts:
-        edges = edges.unionByName(part)
-    rejected = None
-    for part in rejected_parts:
-        rejected = part if rejected is None else rejected.unionByName(part)
-    edges = cut(edges)
-    rejected = cut(rejected) if rejected is not None else edges.limit(0)
-    state.release()
-    return Expansion(edges=edges, rejected=rejected, rounds=rounds)
+    store.clear()
+    if rounds == 0:
+        nothing = [F.lit(None).cast("string").alias(c) for c in ELEMENT_EDGE_COLUMNS]
+        edges = valid_pe.limit(0).select(*nothing)
+        return Expansion(edges=edges, rejected=edges.select(*keys, *REJECT_COLUMNS[:-1], F.lit(None).cast("string").alias("reason")), rounds=0)
+    every = result.all("rounds")
+    rejected = every.filter("_rejected").withColumn("reason", F.lit("UNPARSABLE_PARENT_LABEL")).select(*keys, *REJECT_COLUMNS)
+    return Expansion(edges=every.filter(~F.col("_rejected")).select(*ELEMENT_EDGE_COLUMNS), rejected=rejected, rounds=rounds)
 
 
 # -- v1: each path edge on its own (E15-E17) ---------------------------------

@@ -388,6 +388,24 @@ def element_edges(spark, sf_dir):
     return X.expand(_valid_generic(spark, sf_dir), seed=SEED).edges
 
 
+@query
+def element_tree(spark, sf_dir):
+    """E13 with ids that hold the path: every element of the valid generic hierarchies has one parent."""
+    return X.expand(_valid_generic(spark, sf_dir), seed=SEED, fanout=3, path_unique_ids=True).edges
+
+
+@query
+def element_rejects(spark, sf_dir):
+    """Parents that no rule can parse: every order date as a quarter label, beside the quarters themselves."""
+    key = {"tenant_id": "0", "dimension_id": "time", "hierarchy_id": "fiscal_quarter", "hierarchy_name": "fiscal quarter"}
+    dates = table(spark, sf_dir, "orders", "o_orderdate").select(
+        F.concat(F.lit("Q"), F.date_format("o_orderdate", "yyyy-MM-dd")).alias("element_id")).distinct()
+    dates = dates.select(*[F.lit(v).alias(k) for k, v in key.items()], F.lit("Fiscal Quarter").alias("level"), "element_id",
+                         F.col("element_id").alias("element_label"))
+    roots = dates.unionByName(_calendar_roots(spark, sf_dir).filter("hierarchy_id = 'fiscal_quarter'"))
+    return X.expand(FX.calendar_hierarchies(spark), roots=roots, seed=SEED).rejected
+
+
 @query
 def sequential_years(spark, sf_dir):
     """One year per valid hierarchy, consecutive within each tenant."""
@@ -453,7 +471,7 @@ from strata.sinks import export as SK  # noqa: E402
 
 @query
 def dim_report_json(spark, sf_dir):
-    """The dimension report as one JSON object per dimension."""
+    """The dimension report as JSON, in parts of at most ``SK.PART_EDGES`` edges of a dimension."""
     e = FX.dim_edges(spark, sf_dir)
     report = P.validity(e, DIM)
     return SK.dimension_report_json(report, e, e.select(*DIM, "tenant_id"))

@@ -381,6 +381,35 @@ SELECT DISTINCT el.tenant_id, el.hierarchy_id, el.hierarchy_name, el.dimension_i
 FROM el JOIN vpe v ON {_same_h('v', 'el')} AND v.to_level = el.level
 JOIN range(1, 5) t(i) ON i <= {_FAN}"""
 
+ELEMENT_TREE = f"""{HIER_BASE}, {VALID_PATHS},
+ends AS ({_ends('vpe')}),
+el(tenant_id, dimension_id, hierarchy_id, hierarchy_name, level, eid, elabel, up, upid, uplabel) AS (
+  SELECT {HK_COLS}, level, level || '_id', level || '_label', CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR) FROM ends
+  UNION ALL SELECT el.tenant_id, el.dimension_id, el.hierarchy_id, el.hierarchy_name, v.from_level,
+    el.eid || '/' || v.from_level || '_id' || CAST(i AS VARCHAR), v.from_level || '_label' || CAST(i AS VARCHAR), el.level, el.eid, el.elabel
+  FROM el JOIN vpe v ON {_same_h('v', 'el')} AND v.to_level = el.level, range(1, 4) t(i))
+SELECT tenant_id, hierarchy_id, hierarchy_name, dimension_id, level AS child_level, up AS parent_level, upid AS parent_element_id,
+  eid AS child_element_id, elabel AS child_element_label, uplabel AS parent_element_label FROM el WHERE up IS NOT NULL"""
+
+ELEMENT_REJECTS = """SELECT DISTINCT '0' AS tenant_id, 'time' AS dimension_id, 'fiscal_quarter' AS hierarchy_id,
+  'fiscal quarter' AS hierarchy_name, 'Fiscal Quarter' AS parent_level, 'Fiscal Period' AS child_level,
+  strftime(o_orderdate, 'Q%Y-%m-%d') AS parent_element_id, strftime(o_orderdate, 'Q%Y-%m-%d') AS parent_element_label,
+  'UNPARSABLE_PARENT_LABEL' AS reason
+FROM orders"""
+
+DIM_REPORT_JSON = f"""{_with_residue(DIM_EDGES)},
+d AS (SELECT DISTINCT dimension_id, child, parent FROM e),
+t AS (SELECT dimension_id, '[' || string_agg(CAST(tenant_id AS VARCHAR), ',' ORDER BY tenant_id) || ']' AS tenants
+      FROM (SELECT DISTINCT dimension_id, tenant_id FROM e) GROUP BY dimension_id),
+n AS (SELECT *, (row_number() OVER (PARTITION BY dimension_id ORDER BY child, parent) - 1) // 10000 AS part FROM d),
+l AS (SELECT dimension_id, part, child, '"' || child || '":[' || string_agg('"' || parent || '"', ',' ORDER BY parent) || ']' AS level
+      FROM n GROUP BY dimension_id, part, child),
+bad AS (SELECT DISTINCT dimension_id FROM res)
+SELECT l.dimension_id, CAST(part AS BIGINT) AS part, '{{"dimension_id":"' || l.dimension_id || '","tenant_id":' || any_value(tenants)
+  || ',"part":' || CAST(part AS VARCHAR) || ',"mymap":{{' || string_agg(level, ',' ORDER BY child) || '}},"validity":'
+  || CASE WHEN any_value(bad.dimension_id) IS NULL THEN 'true' ELSE 'false' END || '}}' AS json
+FROM l JOIN t USING (dimension_id) LEFT JOIN bad ON bad.dimension_id = l.dimension_id GROUP BY l.dimension_id, part"""
+
 _SEQ_START = f"1998 + {sql_draw('tenant_id', "'start'")} % 25"
 
 SEQUENTIAL_YEARS = f"""{HIER_BASE},
@@ -503,6 +532,9 @@ ORACLES: dict[str, str] = {
     "generic_children": GENERIC_CHILDREN,
     "hier_elements": HIER_ELEMENTS,
     "element_edges": ELEMENT_EDGES,
+    "element_tree": ELEMENT_TREE,
+    "element_rejects": ELEMENT_REJECTS,
+    "dim_report_json": DIM_REPORT_JSON,
     "sequential_years": SEQUENTIAL_YEARS,
     "edgewise_elements": EDGEWISE_ELEMENTS,
     "edgewise_rejected": EDGEWISE_REJECTED,

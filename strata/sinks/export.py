@@ -5,7 +5,7 @@ Here each sink is a distributed writer; the text forms (``to_json``,
 ``to_csv``) are column expressions, so a caller can also keep them as a
 DataFrame. Payloads are rows (one JSON object per edge, keyed by the
 hierarchy); ``write_partitioned`` writes them as one folder per tenant and
-hierarchy. The report's map of a dimension is still built behind a bound.
+hierarchy. The report's map of a dimension comes in parts of bounded size.
 """
 
 from __future__ import annotations
@@ -16,19 +16,33 @@ from pyspark.sql import functions as F
 from strata.operators import edges as E
 from strata.operators.expand import ELEMENT_EDGE_COLUMNS
 from strata.operators.hierarchy import FROM, HIER_KEYS, TO
+from strata.operators.sequence import row_number_by
+
+
+#: Edges of a dimension that one JSON object of the report holds at most.
+PART_EDGES = 10_000
 
 
 def dimension_report_json(report: DataFrame, edges: DataFrame, tenants: DataFrame,
-                          bound: int = 100_000) -> DataFrame:
-    """One JSON object per dimension ``{dimension_id, tenant_id, mymap, validity}``.
+                          part_edges: int = PART_EDGES) -> DataFrame:
+    """``dimension_id, part, json`` with objects ``{dimension_id, tenant_id, part, mymap, validity}``.
 
     ``report`` has ``dimension_id, valid``; ``tenants`` has ``dimension_id,
-    tenant_id`` rows. The map is built per dimension behind ``bound``."""
-    maps = E.group_maps(edges, ["dimension_id"], bound=bound).withColumnRenamed("graph", "mymap")
+    tenant_id`` rows. The edges of a dimension are numbered by (level, parent)
+    without gathering them, and each run of ``part_edges`` is one object, so a
+    dimension has no bound and no object is longer than its part; a level that
+    lies on a border continues in the next part. A dimension without edges has
+    part 0 with an empty map."""
+    numbered = row_number_by(E.edge_set(edges, ["dimension_id"]), ["dimension_id"], ["child", "parent"], out="_n")
+    parts = numbered.withColumn("part", F.floor((F.col("_n") - 1) / F.lit(part_edges)).cast("bigint"))
+    levels = parts.groupBy("dimension_id", "part", "child").agg(F.array_sort(F.collect_list("parent")).alias("parents"))
+    maps = levels.groupBy("dimension_id", "part").agg(F.map_from_entries(
+        F.array_sort(F.collect_list(F.struct("child", "parents")))).alias("mymap"))
     t = tenants.groupBy("dimension_id").agg(F.array_sort(F.collect_set("tenant_id")).alias("tenant_id"))
-    body = report.join(maps, "dimension_id", "left").join(t, "dimension_id", "left")
-    return body.select("dimension_id", F.to_json(F.struct(
-        "dimension_id", "tenant_id", "mymap", F.col("valid").alias("validity"))).alias("json"))
+    body = report.join(t, "dimension_id", "left").join(maps, "dimension_id", "left").select(
+        "dimension_id", "tenant_id", F.coalesce("part", F.lit(0)).cast("bigint").alias("part"),
+        F.coalesce("mymap", F.create_map().cast("map<string,array<string>>")).alias("mymap"), F.col("valid").alias("validity"))
+    return body.select("dimension_id", "part", F.to_json(F.struct("dimension_id", "tenant_id", "part", "mymap", "validity")).alias("json"))
 
 
 def csv_lines(df: DataFrame, columns: list[str] = ELEMENT_EDGE_COLUMNS) -> DataFrame:

@@ -20,7 +20,7 @@ def test_entry_runs(spark):
 
 def test_every_core_query_has_an_oracle_or_is_a_sink():
     missing = set(QUERIES) - set(ORACLES)
-    assert missing == {"dim_report_json", "element_edges_csv", "element_payloads"}
+    assert missing == {"element_edges_csv", "element_payloads"}
 
 
 def test_reason_counts_at_sf001(spark):
