@@ -25,6 +25,7 @@ from strata.operators import edges as E
 from strata.operators import jump as J
 from strata.operators import peel as P
 from strata.operators import salt as S
+from strata.operators.sequence import row_number_by
 from strata.session import Scope, cut
 
 HIER_KEYS = ["tenant_id", "dimension_id", "hierarchy_id", "hierarchy_name"]
@@ -154,3 +155,22 @@ def invert_path(valid_pe: DataFrame, keys: list[str] = HIER_KEYS) -> DataFrame:
     return valid_pe.join(depth.withColumnRenamed("node", FROM), [*keys, FROM]).select(
         *keys, F.col(TO).alias("parent_level"), F.col(FROM).alias("child_level"),
         F.col("depth").cast("int").alias("step"))
+
+
+#: Edges that the text of one path segment holds at most.
+SEGMENT_EDGES = 10_000
+
+
+def path_segments(pe: DataFrame, keys: list[str] = HIER_KEYS, order: list[str] | None = None,
+                  segment_edges: int = SEGMENT_EDGES) -> DataFrame:
+    """A2: ``keys, segment, n_edges, path``: a path's entries ``from>to`` as texts of bounded length.
+
+    Entries are sorted (by ``order``, else by their text) and numbered without
+    gathering the path; each run of ``segment_edges`` is one text, and the
+    segments in order, joined by ``;``, are the whole. Key columns must not be null."""
+    entry = pe.withColumn("_entry", F.concat_ws(">", FROM, TO))
+    numbered = row_number_by(entry, keys, order or ["_entry"], out="_n")
+    at = numbered.withColumn("segment", F.floor((F.col("_n") - 1) / F.lit(segment_edges)).cast("bigint"))
+    run = F.array_sort(F.collect_list(F.struct("_n", "_entry")))
+    return at.groupBy(*keys, "segment").agg(F.count(F.lit(1)).alias("n_edges"),
+                                            F.array_join(F.transform(run, lambda e: e["_entry"]), ";").alias("path"))

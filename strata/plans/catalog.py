@@ -490,3 +490,119 @@ def element_payloads(spark, sf_dir):
     generic = cut(_valid_generic(spark, sf_dir))
     calendars = SK.hierarchy_payloads(hier_elements(spark, sf_dir), FX.calendar_hierarchies(spark))
     return calendars.unionByName(SK.hierarchy_payloads(X.expand(generic, seed=SEED).edges, generic))
+
+
+# -- configuration with bad rows and several tenants (S1-S3, P2, P4, P5, D4) ------------
+
+from strata.sources import quarantine as Q  # noqa: E402
+
+
+def _intake(spark, sf_dir):
+    return Q.intake_dimension_lines(FX.rough_config_lines(spark, sf_dir))
+
+
+@query
+def config_problems(spark, sf_dir):
+    """How many lines of each dimension have which problem."""
+    return _intake(spark, sf_dir).problems()
+
+
+@query
+def config_quarantine(spark, sf_dir):
+    """The lines that cannot be placed, with their text."""
+    return _intake(spark, sf_dir).quarantine.select("line", F.array_join("problems", ",").alias("problems"))
+
+
+@query
+def config_tenants(spark, sf_dir):
+    """Edges of every tenant of lines with none to three of them."""
+    return C.config_edges(_intake(spark, sf_dir).config)
+
+
+@query
+def config_report(spark, sf_dir):
+    """D4 with its account: tenants, levels, edges, verdict, and the counts of bad rows and cells per dimension."""
+    intake = _intake(spark, sf_dir)
+    edges, levels, counts = C.config_edges(intake.config), C.declared_levels(intake.config), intake.counts()
+    v = P.validity(edges, DIM, groups=counts.select(*DIM))
+    tenants = C.explode_tenants(intake.config).select(*DIM, "tenant_id").distinct().groupBy(*DIM).agg(
+        _join_sorted(F.collect_list("tenant_id")).alias("tenant_ids"))
+    n_levels = levels.groupBy(*DIM).agg(F.count(F.lit(1)).alias("n_levels"))
+    full = counts.join(v, DIM).join(tenants, DIM, "left").join(n_levels, DIM, "left")
+    return full.fillna({"tenant_ids": "", "n_levels": 0})
+
+
+@query
+def hier_tenant_lists(spark, sf_dir):
+    """S3: hierarchies of one to three tenants, the list as ``array<int>``."""
+    h = C.parse_hierarchy_lines(FX.shared_hier_lines(spark, sf_dir), tenant_as_array=True)
+    return h.select(F.array_join("tenant_id", ",").alias("tenant_ids"), F.size("tenant_id").cast("bigint").alias("n_tenants"),
+                    "dimension_id", "hierarchy_id", "from_level", "hierarchy_name", "to_level")
+
+
+@query
+def hier_tenants(spark, sf_dir):
+    """The path edges of every tenant of a shared hierarchy."""
+    return C.explode_tenants(C.parse_hierarchy_lines(FX.shared_hier_lines(spark, sf_dir), tenant_as_array=True))
+
+
+@query
+def one_dimension(spark, sf_dir):
+    """P5: one dimension of one tenant, out of orders, geography and parts."""
+    return C.dimension_of_tenant(FX.level_edges(spark, sf_dir), dimension_id="part", tenant_id=0)
+
+
+# -- E1 at every level, A2 without one row, what the sinks wrote --------------------------
+
+from strata.session import Store  # noqa: E402
+
+
+@query
+def timed_tops(spark, sf_dir):
+    """Seeded tops at year, week, period, quarter and plain levels."""
+    return X.top_elements(FX.top_paths(spark, sf_dir), seed=SEED)
+
+
+@query
+def hier_path_segments(spark, sf_dir):
+    """A2 without a bound: the text of a path in segments of at most ``H.SEGMENT_EDGES`` edges."""
+    return H.path_segments(H.path_edges(_hier(spark, sf_dir)))
+
+
+def _rewritten(df, fmt: str, stale: str, tenant, **options: str):
+    """Write ``df`` by tenant with column ``stale`` spoiled for one tenant, replace that tenant's
+    folder by its right rows, and read the dataset back (kept below the checkpoint folder)."""
+    path = f"{Store(df.sparkSession).path}/written"
+    own = F.col("tenant_id") == tenant
+    SK.write_table(df.withColumn(stale, F.when(own, F.lit("stale")).otherwise(F.col(stale))), path, fmt,
+                   partition_by=["tenant_id"], **options)
+    SK.replace_partitions(df.filter(own), path, fmt, **options)
+    return df.sparkSession.read.schema(df.schema).options(**options).format(fmt).load(path).select(*df.columns)
+
+
+@query
+def dataset_read_back(spark, sf_dir):
+    """Dimension edges as Parquet by tenant, one tenant rewritten."""
+    return _rewritten(FX.dim_edges(spark, sf_dir), "parquet", "child", 1)
+
+
+def _all_element_edges(spark, sf_dir):
+    generic = _valid_generic(spark, sf_dir)
+    return generic, hier_elements(spark, sf_dir).unionByName(X.expand(generic, seed=SEED).edges)
+
+
+@query
+def csv_read_back(spark, sf_dir):
+    """Element edges of calendars and generic hierarchies as CSV with a header line, one tenant rewritten."""
+    return _rewritten(_all_element_edges(spark, sf_dir)[1], "csv", "child_element_label", "0", header="true")
+
+
+@query
+def payloads_read_back(spark, sf_dir):
+    """The payload of every path and element edge as JSON, one tenant rewritten, parsed again."""
+    generic, elements = _all_element_edges(spark, sf_dir)
+    payloads = SK.hierarchy_payloads(elements, generic.unionByName(FX.calendar_hierarchies(spark)))
+    fields = [*X.ELEMENT_EDGE_COLUMNS, H.FROM, H.TO]
+    back = _rewritten(payloads, "json", "payload", "0")
+    p = back.select("kind", F.from_json("payload", ", ".join(f"{f} string" for f in fields)).alias("p")).select("kind", "p.*")
+    return p.withColumns({"child_level": F.coalesce("child_level", H.FROM), "parent_level": F.coalesce("parent_level", H.TO)}).drop(H.FROM, H.TO)

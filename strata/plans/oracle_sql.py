@@ -491,6 +491,90 @@ SELECT g AS dimension_id, node, CAST(level AS INTEGER) AS level,
   row_number() OVER (PARTITION BY g, level ORDER BY node) - 1 AS slot FROM t2"""
 
 
+# -- configuration with bad rows and several tenants ------------------------------
+
+TENANT_LIST = "[(o_custkey + i) % 4 FOR i IN range(o_custkey % 3 + 1)]"
+
+ROUGH = f"""o AS (SELECT o_orderkey AS k, o_custkey AS c, 'L' || ((o_orderkey // 16) % 16) AS up, {TENANT_LIST} AS several FROM orders),
+rough AS (SELECT k, k % 29 IN (0, 1) AS corrupt, CASE WHEN k % 17 <> 0 THEN 'D' || c END AS dimension_id,
+  CASE WHEN k % 19 <> 0 THEN 'L' || (k % 16) END AS level,
+  CASE WHEN k % 23 = 0 THEN [] WHEN k % 23 = 1 THEN [up, 'Ltop'] ELSE [up] END AS parents,
+  CASE WHEN k % 13 IN (0, 1) THEN [] WHEN k % 13 = 2 THEN [c % 4] ELSE several END AS tenants,
+  CASE k % 13 WHEN 0 THEN '' WHEN 1 THEN 'x' WHEN 2 THEN (c % 4) || ',x' ELSE array_to_string(several, ', ') END AS tenant_text,
+  CASE k % 23 WHEN 0 THEN '' WHEN 1 THEN up || ',, Ltop' ELSE up END AS parent_text FROM o),
+marked AS (SELECT *, CASE WHEN corrupt THEN ['CORRUPT_LINE'] ELSE list_filter([
+    CASE WHEN dimension_id IS NULL THEN 'NO_DIMENSION' END, CASE WHEN level IS NULL THEN 'NO_LEVEL' END,
+    CASE WHEN k % 13 = 0 THEN 'NO_TENANT' END, CASE WHEN k % 13 IN (1, 2) THEN 'BAD_TENANT' END,
+    CASE WHEN k % 23 = 0 THEN 'NO_PARENT' END, CASE WHEN k % 23 = 1 THEN 'EMPTY_PARENT' END], lambda x: x IS NOT NULL) END AS problems,
+  NOT corrupt AND dimension_id IS NOT NULL AND level IS NOT NULL AS placed FROM rough),
+te AS (SELECT DISTINCT tenant_id, dimension_id, child, unnest(parents) AS parent FROM (
+  SELECT unnest(CASE WHEN len(tenants) = 0 THEN [NULL] ELSE tenants END) AS tenant_id, dimension_id, level AS child, parents
+  FROM marked WHERE placed))"""
+
+CONFIG_PROBLEMS = f"""WITH {ROUGH}
+SELECT dimension_id, problem, count(*) AS n_rows FROM (SELECT dimension_id, unnest(problems) AS problem FROM marked) GROUP BY ALL"""
+
+CONFIG_QUARANTINE = f"""WITH {ROUGH}
+SELECT tenant_text || '|' || coalesce(dimension_id, ' ') || CASE k % 29 WHEN 0 THEN '' ELSE '|' || coalesce(level, '') || '|' || parent_text END
+  || CASE k % 29 WHEN 1 THEN '|more' ELSE '' END AS line, array_to_string(problems, ',') AS problems FROM marked WHERE NOT placed"""
+
+CONFIG_TENANTS = f"""WITH {ROUGH}
+SELECT CAST(tenant_id AS INTEGER) AS tenant_id, dimension_id, child, parent FROM te"""
+
+CONFIG_REPORT = f"""WITH RECURSIVE {ROUGH},
+e AS (SELECT DISTINCT dimension_id, child, parent FROM te),
+{closure()},
+{residue_cte()},
+counts AS (SELECT dimension_id, count(*) AS n_rows, count(*) FILTER (WHERE NOT placed) AS n_quarantined,
+  count(*) FILTER (WHERE placed AND k % 13 = 0) AS n_no_tenant, count(*) FILTER (WHERE placed AND k % 13 IN (1, 2)) AS n_bad_tenant,
+  count(*) FILTER (WHERE placed AND k % 23 = 0) AS n_no_parent, count(*) FILTER (WHERE placed AND k % 23 = 1) AS n_empty_parent
+  FROM marked WHERE dimension_id IS NOT NULL GROUP BY ALL),
+ec AS (SELECT dimension_id, count(*) AS n_edges FROM e GROUP BY ALL),
+rc AS (SELECT dimension_id, count(*) AS n_residue FROM res GROUP BY ALL),
+tn AS (SELECT dimension_id, string_agg(tenant_id, ',' ORDER BY tenant_id) AS tenant_ids
+  FROM (SELECT DISTINCT dimension_id, unnest(tenants) AS tenant_id FROM marked WHERE placed) GROUP BY ALL),
+lc AS (SELECT dimension_id, count(DISTINCT level) AS n_levels FROM (
+  SELECT dimension_id, level FROM marked WHERE placed UNION ALL SELECT dimension_id, parent FROM e) GROUP BY ALL)
+SELECT counts.*, coalesce(n_edges, 0) AS n_edges, coalesce(n_residue, 0) AS n_residue,
+  CASE WHEN n_edges IS NULL THEN 'EMPTY' WHEN n_residue > 0 THEN 'CYCLE' END AS reason,
+  n_edges IS NOT NULL AND n_residue IS NULL AS valid, coalesce(tenant_ids, '') AS tenant_ids, coalesce(n_levels, 0) AS n_levels
+FROM counts LEFT JOIN ec USING (dimension_id) LEFT JOIN rc USING (dimension_id)
+LEFT JOIN tn USING (dimension_id) LEFT JOIN lc USING (dimension_id)"""
+
+SHARED_HIER = f"""SELECT DISTINCT {TENANT_LIST} AS tenants, 'D' || o_custkey AS dimension_id, 'H' || year(o_orderdate) AS hierarchy_id,
+  'L' || (o_orderkey % 16) AS from_level, 'hierarchy ' || year(o_orderdate) AS hierarchy_name,
+  'L' || ((o_orderkey // 16) % 16) AS to_level FROM orders"""
+
+HIER_TENANT_LISTS = f"""SELECT array_to_string(tenants, ',') AS tenant_ids, len(tenants) AS n_tenants,
+  dimension_id, hierarchy_id, from_level, hierarchy_name, to_level FROM ({SHARED_HIER})"""
+
+HIER_TENANTS = f"""SELECT CAST(unnest(tenants) AS INTEGER) AS tenant_id, dimension_id, hierarchy_id, from_level, hierarchy_name, to_level
+FROM ({SHARED_HIER})"""
+
+# -- tops of every level, path segments, what the sinks wrote ------------------------
+
+TIMED_TOPS = f"""WITH p AS (SELECT DISTINCT CAST(o_custkey % 4 AS VARCHAR) AS tenant_id, 'D' || o_custkey AS dimension_id,
+  strftime(o_orderdate, 'H%Y-%m-%d') AS hierarchy_id, strftime(o_orderdate, 'from %Y-%m-%d') AS hierarchy_name,
+  ['Ad Year', 'Fiscal Year', 'Ad Week', 'Fiscal Week', 'Ad Period', 'Fiscal Period', 'Fiscal Quarter', 'Season'][o_custkey % 8 + 1] AS level
+  FROM orders),
+drawn AS (SELECT *, {sql_year(*KEYS4)} AS y, lpad(CAST(1 + {sql_draw(*KEYS4, "'period'")} % 13 AS VARCHAR), 2, '0') AS pp,
+  CAST(1 + {sql_draw(*KEYS4, "'quarter'")} % 4 AS VARCHAR) AS q, {sql_week_start("'2023-01-01'", *KEYS4)} AS w FROM p),
+tops AS (SELECT *, CASE WHEN level LIKE '% Year' THEN y WHEN level LIKE '% Week' THEN w WHEN level LIKE '% Period' THEN y || pp
+  WHEN level = 'Fiscal Quarter' THEN y || '0' || q END AS v FROM drawn)
+SELECT {HK_COLS}, level, coalesce(v, level || '_id') AS element_id, coalesce(v, level || '_label') AS element_label FROM tops"""
+
+HIER_PATH_SEGMENTS = f"""WITH {PATH_EDGES},
+n AS (SELECT *, concat_ws('>', from_level, to_level) AS entry,
+  (row_number() OVER (PARTITION BY hk ORDER BY concat_ws('>', from_level, to_level)) - 1) // 10000 AS segment FROM pe)
+SELECT {HK_COLS}, segment, count(*) AS n_edges, string_agg(entry, ';' ORDER BY entry) AS path FROM n GROUP BY {HK_COLS}, segment"""
+
+CSV_READ_BACK = f"""SELECT {ELEMENT_COLS} FROM ({HIER_ELEMENTS}) UNION ALL SELECT {ELEMENT_COLS} FROM ({ELEMENT_EDGES})"""
+
+PAYLOADS_READ_BACK = f"""SELECT 'element' AS kind, {ELEMENT_COLS} FROM ({CSV_READ_BACK})
+UNION ALL SELECT 'path', tenant_id, hierarchy_id, hierarchy_name, dimension_id, from_level, to_level, NULL, NULL, NULL, NULL
+FROM ({VALID_HIERARCHIES} UNION ALL {CALENDAR})"""
+
+
 ORACLES: dict[str, str] = {
     "dim_validity": DIM_VALIDITY,
     "edge_table_validity": EDGE_TABLE_VALIDITY,
@@ -543,4 +627,16 @@ ORACLES: dict[str, str] = {
     "skip_level_edges": SKIP_LEVEL_EDGES,
     "level_profile": LEVEL_PROFILE,
     "level_slots": LEVEL_SLOTS,
+    "config_problems": CONFIG_PROBLEMS,
+    "config_quarantine": CONFIG_QUARANTINE,
+    "config_tenants": CONFIG_TENANTS,
+    "config_report": CONFIG_REPORT,
+    "hier_tenant_lists": HIER_TENANT_LISTS,
+    "hier_tenants": HIER_TENANTS,
+    "one_dimension": PART_EDGES,
+    "timed_tops": TIMED_TOPS,
+    "hier_path_segments": HIER_PATH_SEGMENTS,
+    "dataset_read_back": DIM_EDGES,
+    "csv_read_back": CSV_READ_BACK,
+    "payloads_read_back": PAYLOADS_READ_BACK,
 }

@@ -76,6 +76,17 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "err
     w.save(path)
 
 
+def replace_partitions(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] = ["tenant_id"],
+                       **options: str) -> None:
+    """X4, rerun: replace the partitions that ``df`` has rows of and leave all others as they are.
+
+    Dynamic partition overwrite: every task writes beside the dataset and the
+    folders are exchanged when the job commits, so a run that dies changes
+    nothing. A null partition value has a folder of its own; an empty text is
+    read back as null."""
+    write_table(df, path, fmt, "overwrite", partition_by, partitionOverwriteMode="dynamic", **options)
+
+
 def write_partitioned(element_edges: DataFrame, path: str, fmt: str = "json",
                       mode: str = "errorifexists") -> None:
     """X3, as files: element edges under ``tenant_id=/hierarchy_id=`` folders.

@@ -180,3 +180,49 @@ def hier_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     adj = h.groupBy(*keys, "from_level").agg(F.array_sort(F.collect_set("to_level")).alias("to"))
     return adj.groupBy(*keys).agg(
         F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("from_level", "to"))))).alias("body"))
+
+
+def _tenant_list(c: Column) -> Column:
+    """One to three tenants, by the key: ``"3"``, ``"3, 0"`` or ``"3, 0, 1"``."""
+    return F.array_join(F.transform(F.sequence(F.lit(0), (c % 3).cast("int")), lambda i: _s((c + i) % 4)), ", ")
+
+
+def rough_config_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One dimension line per order, ``tenants|dimension|level|parents``, most with several
+    tenants and, by the order key, with every kind of damage: no or bad tenants, no
+    dimension, no level, no or empty parents, a field too few or too many."""
+    o = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    up = F.concat(F.lit("L"), _s(F.expr("(o_orderkey div 16) % 16")))
+    tenants = (F.when(k % 13 == 0, "").when(k % 13 == 1, "x")
+               .when(k % 13 == 2, F.concat(_s(c % 4), F.lit(",x"))).otherwise(_tenant_list(c)))
+    dimension = F.when(k % 17 == 0, " ").otherwise(F.concat(F.lit("D"), _s(c)))
+    level = F.when(k % 19 == 0, "").otherwise(F.concat(F.lit("L"), _s(k % 16)))
+    parents = (F.when(k % 23 == 0, "").when(k % 23 == 1, F.concat(up, F.lit(",, Ltop"))).otherwise(up))
+    return o.select(F.when(k % 29 == 0, F.concat_ws("|", tenants, dimension))
+                    .when(k % 29 == 1, F.concat_ws("|", tenants, dimension, level, parents, F.lit("more")))
+                    .otherwise(F.concat_ws("|", tenants, dimension, level, parents)).alias("line"))
+
+
+def shared_hier_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``hier_edges`` as lines whose hierarchies belong to one to three tenants."""
+    o = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate")
+    year = _s(F.year("o_orderdate"))
+    return o.select(F.concat_ws(
+        "|", _tenant_list(F.col("o_custkey")), F.concat(F.lit("D"), _s(F.col("o_custkey"))), F.concat(F.lit("H"), year),
+        F.concat(F.lit("L"), _s(F.col("o_orderkey") % 16)), F.concat(F.lit("hierarchy "), year),
+        F.concat(F.lit("L"), _s(F.expr("(o_orderkey div 16) % 16")))).alias("line")).distinct()
+
+
+# The levels that E1 draws a value for, and one that it does not.
+TOP_LEVELS = ["Ad Year", "Fiscal Year", "Ad Week", "Fiscal Week", "Ad Period", "Fiscal Period", "Fiscal Quarter", "Season"]
+
+
+def top_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One path per order day of a customer, ``Day`` below one of ``TOP_LEVELS`` by the customer key."""
+    o = table(spark, sf_dir, "orders", "o_custkey", "o_orderdate")
+    top = F.element_at(F.array(*[F.lit(t) for t in TOP_LEVELS]), (F.col("o_custkey") % len(TOP_LEVELS) + 1).cast("int"))
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    return o.select(_s(F.col("o_custkey") % 4).alias("tenant_id"), F.concat(F.lit("D"), _s(F.col("o_custkey"))).alias("dimension_id"),
+                    F.concat(F.lit("H"), day).alias("hierarchy_id"), F.concat(F.lit("from "), day).alias("hierarchy_name"),
+                    F.lit("Day").alias("from_level"), top.alias("to_level")).distinct()
