@@ -9,9 +9,10 @@ sections. The fingerprint is written as
 
     ROOT:LEAF.LEAF,LEAF;LEAF...      leaves by ".", paragraphs by ",", sections by ";"
 
-Equal roots mean equal texts. Where roots differ, equal sections and paragraphs are matched whole and only differing
-branches are opened, down to the leaves: ``likeness`` is twice the matched leaves over all leaves of both trees, and
-``differing`` lists the leaf ranges that have no equal in the other tree.
+The root follows from leaf digests of 16 bytes, so equal roots mean equal texts; the leaves are written by their first
+5 bytes. Where roots differ, equal sections and paragraphs are matched whole and only differing branches are opened,
+down to the leaves: ``likeness`` is twice the matched leaves over all leaves of both trees (one leaf of each is taken as
+different if none shows in what is written), and ``differing`` lists the leaf ranges that have no equal in the other tree.
 
 Neighbours are found by a range partitioning on (doc_id, hash of the text): texts move once, each partition is read in
 order, and only its first and last row meet their neighbours in another partition.
@@ -40,12 +41,12 @@ from strata.llm.common import keyed, map_rows
 SENTENCE = re.compile(r"[.!?|]\s+")
 SPACE = re.compile(r"\s+")
 LEAST, USUAL, GREATEST, SEEN = 80, 160, 400, 12
-LEAF_BYTES, SECTION_OF = 5, 4
+FULL_BYTES, LEAF_BYTES, SECTION_OF = 16, 5, 4
 
 Tree = tuple[str, list[tuple[str, list[tuple[str, list[str]]]]]]
 
 
-def digest(text: bytes, size: int = LEAF_BYTES) -> str:
+def digest(text: bytes, size: int = FULL_BYTES) -> str:
     return blake2b(text, digest_size=size).hexdigest()
 
 
@@ -69,18 +70,22 @@ def leaves_of(line: str) -> list[str]:
 
 
 def tree(text: str) -> Tree:
-    """Root, and sections of paragraphs of leaves, each with its digest."""
-    sections, section = [], []
+    """Root, and sections of paragraphs of written leaves, each with the digest that ``read`` gives it."""
+    sections, section, above, inside = [], [], [], []
     for line in text.split("\n") if text else []:
-        leaves = [digest(x.encode("utf-8")) for x in leaves_of(line)]
+        full = [digest(x.encode("utf-8")) for x in leaves_of(line)]
+        leaves = [x[:2 * LEAF_BYTES] for x in full]
         name = digest("".join(leaves).encode(), 8)
         section.append((name, leaves))
+        inside.append(digest("".join(full).encode()))
         if int(name[:2], 16) % SECTION_OF == 0:
             sections.append((digest("".join(p for p, _ in section).encode(), 8), section))
-            section = []
+            above.append(digest("".join(inside).encode()))
+            section, inside = [], []
     if section:
         sections.append((digest("".join(p for p, _ in section).encode(), 8), section))
-    return digest(text.encode("utf-8"), 16) if not sections else digest("".join(s for s, _ in sections).encode(), 16), sections
+        above.append(digest("".join(inside).encode()))
+    return digest("".join(above).encode()), sections
 
 
 def written(t: Tree) -> str:
@@ -123,6 +128,7 @@ def likeness(a: Tree, b: Tree) -> float:
     left_a, left_b = unmatched([p for s in left_a for p in s[1]], [p for s in left_b for p in s[1]])
     leaves_a, leaves_b = (Counter(x for p in side for x in p[1]) for side in (left_a, left_b))
     differ = leaves_a.total() + leaves_b.total() - 2 * (leaves_a & leaves_b).total()
+    differ = max(differ, min(size, 2))  # roots differ, so a leaf does
     return (size - differ) / size if size else 0.0
 
 
