@@ -133,18 +133,24 @@ def held_out_rule() -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = 4000) -> FactorisationMachine:
-    """Fit on the labelled rows that are not held out, at most ``max_rows`` of them (a broadcast of that many ids)."""
+    """Fit on the labelled rows that are not held out, at most ``max_rows`` of them (a broadcast of that many ids).
+
+    A label id that several documents carry labels each of them; equal rows count once, and where these are more than
+    ``max_rows`` in all, those of the least hashes are taken, before anything reaches the driver."""
     known = (labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out_rule())
-             .groupBy(F.col("doc_id").alias("label_id")).agg(F.min("quality").cast("int").alias("quality")))
+             .groupBy(F.col("doc_id").cast("bigint").alias("label_id")).agg(F.min("quality").cast("int").alias("quality")))
     chosen = known.orderBy(hash_share(F.col("label_id"), "quality"), "label_id").limit(max_rows)
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id")).select("text", "quality")
+    sample = (docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id"))
+              .select("text", "quality", "label_id", F.xxhash64("text").alias("rk")))
 
     def features(c: dict) -> dict:
         got = [vector(t) for t in c["text"]]
-        return {"at": [a.astype(np.uint16).tobytes() for a, _ in got], "x": [x.tobytes() for _, x in got], "quality": c["quality"]}
+        return {"at": [a.astype(np.uint16).tobytes() for a, _ in got], "x": [x.tobytes() for _, x in got]} | {k: c[k] for k in ("quality", "label_id", "rk")}
 
-    got = map_rows(sample, features, "at binary, x binary, quality int").collect()
-    rows = sorted((r["at"], r["x"], r["quality"]) for r in got)[:2 * max_rows]
+    made = map_rows(sample, features, "at binary, x binary, quality int, label_id bigint, rk bigint")
+    distinct = made.groupBy("label_id", "rk").agg(F.min(F.struct("at", "x", "quality")).alias("row"))
+    got = distinct.orderBy(hash_share(F.col("label_id"), "quality"), F.xxhash64("rk"), "label_id", "rk").limit(max_rows).select("row.*").collect()
+    rows = sorted((r["at"], r["x"], r["quality"]) for r in got)
     return fit([(np.frombuffer(a, np.uint16).astype(np.int64), np.frombuffer(x, np.float32), int(q > 0)) for a, x, q in rows])
 
 
