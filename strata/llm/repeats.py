@@ -30,7 +30,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import KEY, map_rows, plain, rows_of, squeezed
+from strata.llm.common import KEY, Tables, map_rows, plain, rows_of, squeezed
 from strata.session import cut
 
 LENGTH = 400
@@ -151,12 +151,15 @@ def repeated_spans(docs: DataFrame, texts: DataFrame, length: int = LENGTH) -> D
             out["size"] += [len(text)] * len(pos)
         return out
 
-    rows = map_rows(rows_of(docs).filter(F.octet_length("text") >= length), suffixes,
-                    "did bigint, rk bigint, packed bigint, gram bigint, whole bigint, size bigint", 32)
+    # written once for both of its readers, and deleted when they are done
+    tables = Tables(docs.sparkSession)
+    rows = tables.put(map_rows(rows_of(docs).filter(F.octet_length("text") >= length), suffixes,
+                               "did bigint, rk bigint, packed bigint, gram bigint, whole bigint, size bigint", 32))
     # pass 1: grams that occur twice
     # (cut, so that both sides of the join are plain shuffles and a gram that is very common is split)
     twice = cut(rows.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram"))
     kept = cut(rows.join(twice, "gram"))
+    tables.clear()
     # pass 2: all bytes that the anchor's windows can have
     groups = cut(kept.groupBy(F.col("gram").alias("g"), F.col("whole").alias("w"))
                  .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*KEY, "packed")).alias("one")).filter("n > 1"))
