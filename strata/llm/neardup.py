@@ -27,6 +27,7 @@ An empty table gives no rows. Other columns are not read.
 from __future__ import annotations
 
 from hashlib import blake2b
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -57,7 +58,19 @@ FINE = Sketch(504, 7, 7, 0.072)
 SIZE = COARSE.size
 
 _U = np.uint64
-_word: dict[bytes, int] = {}
+
+
+class _Hashes(dict):
+    """Hashes of words, kept for at most 200,000 of them."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= 200_000:
+            self.clear()
+        h = self[word] = xxh3_64_intdigest(word)
+        return h
+
+
+_word = _Hashes()
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -67,15 +80,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def word_hash(word: bytes) -> int:
-    h = _word.get(word)
-    if h is None:
-        if len(_word) > 200_000:
-            _word.clear()
-        h = _word[word] = xxh3_64_intdigest(word)
-    return h
-
-
 def shingles(text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of a whole text, rising, and their counts."""
     return shingle_lists([text])[0]
@@ -85,7 +89,7 @@ def shingle_lists(texts: list[bytes | None]) -> list[tuple[np.ndarray, np.ndarra
     """``shingles`` of several texts, hashed in one go."""
     lists = [words_of(t) for t in texts]
     ends = np.cumsum([len(x) for x in lists]).tolist()
-    h = np.fromiter((word_hash(w) for x in lists for w in x), _U, ends[-1] if ends else 0)
+    h = np.fromiter(map(_word.__getitem__, chain.from_iterable(lists)), _U, ends[-1] if ends else 0)
     total = roll(h, SHINGLE) if len(h) >= SHINGLE else None
     out = []
     for x, end in zip(lists, ends):
@@ -133,20 +137,22 @@ def signatures_of(sets: list[tuple[np.ndarray, np.ndarray]], size: int = SIZE) -
         ident, rate, cap = (np.concatenate(x) for x in zip(*parts))
         horizon = size * (np.log(size) + slack) / np.array([float(sets[i][1].sum()) for i in todo])
         at = np.repeat(np.arange(len(todo)), [len(p[0]) for p in parts])
-        best, time, step = np.full(len(todo) * size, np.inf), np.zeros(len(ident)), 0
+        best, time, step, until = np.full(len(todo) * size, np.inf), np.zeros(len(ident)), 0, horizon[at]
         while len(ident):
-            step += 1
-            draw = mix(ident ^ mix(np.full(1, step, _U)))
-            time = time - np.log(uniform(draw)) / rate
-            alive = time < horizon[at]
-            ident, time, rate, cap, at, draw = (x[alive] for x in (ident, time, rate, cap, at, draw))
-            place = at * size + (mix(draw + _U(1)) % _U(size)).astype(np.int64)
-            taken = (cap >= 1) | (uniform(mix(draw + _U(2))) < cap)
-            np.minimum.at(best, place[taken], time[taken])
+            ahead = min(64, max(1, 8192 // len(ident)))  # points a process draws at once: many where few processes go on
+            draw = mix(ident[:, None] ^ mix(np.arange(step + 1, step + 1 + ahead, dtype=_U)))
+            times = np.cumsum(np.column_stack([time, -np.log(uniform(draw)) / rate[:, None]]), axis=1)[:, 1:]
+            early = times < until[:, None]
+            own, draw = np.nonzero(early)[0], draw[early]
+            place = at[own] * size + (mix(draw + _U(1)) % _U(size)).astype(np.int64)
+            taken = (cap[own] >= 1) | (uniform(mix(draw + _U(2))) < cap[own])
+            np.minimum.at(best, place[taken], times[early][taken])
+            alive, step = early[:, -1], step + ahead
+            ident, time, rate, cap, at, until = (x[alive] for x in (ident, times[:, -1], rate, cap, at, until))
         best = best.reshape(-1, size)
         full = np.isfinite(best).all(axis=1)
         rows[todo[full]] = best[full]
-        todo, slack = todo[~full], slack * 2 + size  # a place was left empty before the horizon: look further
+        todo, slack = todo[~full], slack * 2  # a place was left empty before the horizon: look further
     return (mix(rows.view(_U)) >> _U(32)).astype(np.uint32)
 
 
