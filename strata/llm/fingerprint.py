@@ -31,11 +31,10 @@ from hashlib import blake2b, sha256
 from zlib import crc32
 
 import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import keyed, map_rows
+from strata.llm.common import Tables, keyed, map_rows
 
 #: Where a leaf can end, the best first, and what the hash of such a border reads.
 SENTENCE = re.compile(r"[.!?|]\s+")
@@ -198,7 +197,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         if last is not None:
             yield batch_of([(last[0], *blank, *first, "last", last[1])])
 
-    done = ordered.mapInArrow(run, f"{RESULT}, {extra}").persist(StorageLevel.MEMORY_AND_DISK)
+    # written, as range bounds that are drawn anew would move the edges between two readers
+    done = Tables(docs.sparkSession).put(ordered.mapInArrow(run, f"{RESULT}, {extra}"))
     edges = done.filter(F.col("edge").isNotNull())
     # one row for each partition: which one follows, the first one after the last
     parts = edges.filter("edge = 'first'").select("part_id", "part_rk")
