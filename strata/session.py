@@ -8,6 +8,7 @@ expansion, level push-down), which cut their lineage once per round.
 from __future__ import annotations
 
 import os
+import re
 from uuid import uuid4
 
 from pyspark import StorageLevel
@@ -18,8 +19,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder of the session, setting it if needed.
 
     Order: a folder already set on the context, then the session's
-    ``spark.checkpoint.dir``, then a folder in the session's warehouse, which
-    the driver and all executors share.
+    ``spark.checkpoint.dir``, then, on a local master only, a folder in the
+    session's warehouse. Elsewhere a session without the setting is an error:
+    the default warehouse is a folder of the driver's machine, which executors
+    don't share.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -31,10 +34,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
             configured = spark.conf.get("spark.checkpoint.dir")
         except Exception:  # noqa: BLE001 - unset key raises on some versions
             configured = None
-    sc.setCheckpointDir(configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints")
+    sc.setCheckpointDir(configured or fallback_dir(sc.master, spark.conf.get("spark.sql.warehouse.dir")))
     return sc.getCheckpointDir()
 
 
+def fallback_dir(master: str, warehouse: str) -> str:
+    """Checkpoint folder of a session that names none; local masters only."""
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that the driver and all executors share (master {master})")
+    return f"{warehouse}/_checkpoints"
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` to the reliable checkpoint folder and drop its lineage."""
     checkpoint_dir(df.sparkSession)
