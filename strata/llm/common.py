@@ -34,9 +34,9 @@ class Tables:
         self.files.mkdirs(self.folder)
         self.files.deleteOnExit(self.folder)
 
-    def put(self, df: DataFrame) -> DataFrame:
+    def put(self, df: DataFrame, **options: str) -> DataFrame:
         self.n += 1
-        df.write.parquet(f"{self.path}/{self.n}")
+        df.write.parquet(f"{self.path}/{self.n}", **options)
         return self.spark.read.schema(df.schema).parquet(f"{self.path}/{self.n}")
 
     def clear(self) -> None:

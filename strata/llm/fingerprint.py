@@ -198,7 +198,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             yield batch_of([(last[0], *blank, *first, "last", last[1])])
 
     # written, as range bounds that are drawn anew would move the edges between two readers
-    done = Tables(docs.sparkSession).put(ordered.mapInArrow(run, f"{RESULT}, {extra}"))
+    done = Tables(docs.sparkSession).put(ordered.mapInArrow(run, f"{RESULT}, {extra}"), compression="zstd")
     edges = done.filter(F.col("edge").isNotNull())
     # one row for each partition: which one follows, the first one after the last
     parts = edges.filter("edge = 'first'").select("part_id", "part_rk")
