@@ -2,14 +2,21 @@
 
 A page becomes its text lines, one per block element, in page order. Its main candidates are the lines inside
 ``<article>`` (or ``<main>``, or the whole body where a page has neither), without the elements that hold menus,
-notices, forms, comments and the like. Lines inside an article are never deleted for being shared, so a page with an
-article is done when it is read.
+notices, forms, comments and the like.
 
-For other pages the differencing tells template from text. Pages of one host with equal candidates (reposts, print
+The differencing tells template from text, on every page. Pages of one host with equal candidates (reposts, print
 versions, one page under several ids) are one class and get equal text: a copy tells nothing of what is template. The
 classes of a host are numbered by the URL path of their first page and compared in blocks of eight neighbours (one or
-two at the end join the block before), pair by pair by their longest common subsequence of lines. A candidate shared
-with two neighbours is template text and is deleted; where only one neighbour shares any candidate, that one decides.
+two at the end join the block before), pair by pair by their longest common subsequence of lines: those inside an
+article with those inside an article, the others with the others.
+
+* Without an article, a candidate shared with two neighbours is template text and is deleted; where only one neighbour
+  shares any candidate, that one decides.
+* In an article the page's author has said what is text, so more is asked for: template are the lines at its head and
+  its end that all neighbours with an article share, two at least. A neighbour that shares more than half of an
+  article's characters is a version of it and tells nothing, so an article never loses half of its text.
+
+Pages are compared by the hashes of their lines; only these and the places of deleted lines move between tasks.
 
 Defined results: a null html is empty and gives empty text; a null url belongs to a host of its own (empty); pages of
 equal host and path are ordered by query, page_id and html hash; equal rows get equal results. A host's only class has
@@ -19,16 +26,16 @@ nothing to be compared with. An empty table gives no rows. Other columns are not
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from hashlib import blake2b
 from html import unescape
 
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import map_rows, plain
+from strata.llm.common import Tables, map_rows
 from strata.operators.sequence import row_number_by
 from strata.session import cut
 
@@ -246,7 +253,7 @@ def page_lines(html: str) -> tuple[list[str], list[int]]:
     return lines, places
 
 
-def shared(a: list[str], b: list[str]) -> tuple[set[int], set[int]]:
+def shared(a: list, b: list) -> tuple[set[int], set[int]]:
     """Places of a longest common subsequence in both, by the bit-parallel recurrence over the rows of ``a``.
 
     Equal heads and tails are taken first; lines that occur on one side only can't be shared.
@@ -286,40 +293,67 @@ def shared(a: list[str], b: list[str]) -> tuple[set[int], set[int]]:
     return in_a, in_b
 
 
+def line_hash(line: str) -> bytes:
+    return blake2b(line.encode("utf-8", "replace"), digest_size=8).digest()
+
+
 def packed(lines: list[str], places: list[int]) -> bytes:
-    """Lines (none holds a line feed) and places as one compressed text: the places' digits, then the lines."""
-    return zstandard.ZstdCompressor(level=9).compress("\n".join(["".join(map(str, places)), *lines]).encode())
+    """Hashes, lengths and places of a page's lines, all that a comparison needs."""
+    return b"".join([line_hash(x) for x in lines]) + array("I", map(len, lines)).tobytes() + bytes(places)
+
 
+def unpacked(z: bytes) -> tuple[list[bytes], list[int], list[int]]:
+    n = len(z) // 13
+    return [z[i:i + 8] for i in range(0, 8 * n, 8)], array("I", z[8 * n:12 * n]).tolist(), list(z[12 * n:])
 
-def unpacked(z: bytes) -> tuple[list[str], list[int]]:
-    digits, *lines = plain(z).decode().split("\n")
-    return lines, [int(p) for p in digits]
 
+def edges_of(voices: list[set[int]], n: int) -> set[int]:
+    """Of an article's ``n`` lines those at its head and its end that all voices share."""
+    if len(voices) < 2:
+        return set()
+    common = set.intersection(*voices)
+    head = next((k for k in range(n) if k not in common), n)
+    tail = next((k for k in range(n) if n - 1 - k not in common), n)
+    return {*range(head), *range(n - tail, n)}
 
-def template(pages: list[tuple[list[str], list[int]]], article: list[bool]) -> list[set[int]]:
-    """Template lines of each page, told by the other pages of its block (none has the same main candidates).
 
-    Of a page's candidates a line is template where two others share it. Where only one of them shares any candidate
-    at all, that one tells. Pages come without the lines inside an article: these are main text and tell nothing."""
-    best = [3 if own else max(places, default=0) for (_, places), own in zip(pages, article)]
+def template(pages: list[tuple[list[bytes], list[int], list[int]]], article: list[bool]) -> list[set[int]]:
+    """Template lines of each page, counted among its candidates and told by the other pages of its block (none has the
+    same candidates)."""
+    inside = [[k for k, p in enumerate(places) if p == 3] for _, _, places in pages]
+    outside = [[k for k, p in enumerate(places) if p < 3] for _, _, places in pages]
+    best = [max(places, default=0) for _, _, places in pages]
     said: list[list[set[int]]] = [[] for _ in pages]
     for i in range(len(pages)):
         for j in range(i):
-            if not (article[i] and article[j]):
-                for at, lines in zip((i, j), shared(pages[i][0], pages[j][0])):
-                    lines = {k for k in lines if pages[at][1][k] == best[at] > 0}
+            both = article[i] and article[j]
+            own = [(inside if both else outside)[at] for at in (i, j)]
+            found = shared(*([pages[at][0][k] for k in lines] for at, lines in zip((i, j), own)))
+            for at, lines, hit in zip((i, j), own, found):
+                if both:
+                    lengths = pages[at][1]
+                    if 2 * sum(lengths[lines[k]] for k in hit) <= sum(lengths[k] for k in lines):
+                        said[at].append(hit)
+                elif not article[at]:
+                    lines = {lines[k] for k in hit if pages[at][2][lines[k]] == best[at] > 0}
                     if lines:
                         said[at].append(lines)
     out = []
-    for found in said:
-        times = Counter(k for lines in found for k in lines)
-        out.append({k for k, n in times.items() if n >= min(2, len(found))})
+    for at, found in enumerate(said):
+        if article[at]:
+            out.append(edges_of(found, len(inside[at])))
+        else:
+            times = Counter(k for lines in found for k in lines)
+            number = {k: i for i, k in enumerate(k for k, p in enumerate(pages[at][2]) if p == best[at])}
+            out.append({number[k] for k, n in times.items() if n >= min(2, len(found))})
     return out
 
 
 def main_text(lines: list[str], places: list[int], deleted: set[int]) -> str:
+    """The candidates (those of the best place) without the deleted ones."""
     best = max(places, default=0)
-    return "\n".join(x for i, (x, p) in enumerate(zip(lines, places)) if p == best and p > 0 and (p == 3 or i not in deleted))
+    own = [x for x, p in zip(lines, places) if p == best and p > 0]
+    return "\n".join(x for i, x in enumerate(own) if i not in deleted)
 
 
 HOST = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)"
@@ -337,42 +371,26 @@ def extract(pages: DataFrame) -> DataFrame:
     def parsed(h: bytes | None) -> tuple[list[str], list[int]]:
         return page_lines((h or b"").decode("utf-8", "replace"))
 
-    def articles_of(c: dict) -> dict:
-        """Pages with an article: no other page says anything about their text."""
-        out: dict[str, list] = {k: [] for k in ("page_id", "url", "text", "n_chars")}
-        for page_id, address, h in zip(c["page_id"], c["url"], c["html"]):
-            lines, places = parsed(h)
-            if 3 in places:
-                text = main_text(lines, places, set())
-                for k, v in zip(out, (page_id, address, text, len(text))):
-                    out[k].append(v)
-        return out
-
     def keys_of(c: dict) -> dict:
         """Pages whose main candidates are equal are one class."""
         out: dict[str, list] = {"article": [], "same": []}
         for h in c["html"]:
             lines, places = parsed(h)
-            best = max(places, default=0)
-            text = "\n".join(x for x, p in zip(lines, places) if p == best and p > 0)
-            out["article"].append(best == 3)
-            out["same"].append(int.from_bytes(blake2b(f"{best == 3}{text}".encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True))
+            own, text = 3 in places, main_text(lines, places, set())
+            out["article"].append(own)
+            out["same"].append(int.from_bytes(blake2b(f"{own}{text}".encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True))
         return {k: c[k] for k in ("page_id", "rk", "url")} | out
 
     def lines_of(c: dict) -> dict:
-        """All lines of a page, without those inside an article."""
-        out = []
-        for h in c["html"]:
-            lines, places = parsed(h)
-            own = [(x, p) for x, p in zip(lines, places) if p < 3]
-            out.append(packed([x for x, _ in own], [p for _, p in own]))
-        return {k: c[k] for k in ("page_id", "rk")} | {"z": out}
+        return {k: c[k] for k in ("page_id", "rk")} | {"z": [packed(*parsed(h)) for h in c["html"]]}
+
+    def texts_of(c: dict) -> dict:
+        return {k: c[k] for k in ("page_id", "rk", "url")} | {"text": [main_text(*parsed(h), set()) for h in c["html"]]}
 
     address = F.coalesce("url", F.lit(""))
     found = map_rows(rows, keys_of, "page_id bigint, rk bigint, url string, article boolean, same bigint", 64)
     keys = cut(found.select("page_id", "rk", "url", "article", "same", F.lower(F.regexp_extract(address, HOST, 1)).alias("host"))
-               .groupBy("page_id", "rk", "url", "article", "same", "host").agg(F.count(F.lit(1)).alias("copies"))
-               .withColumn("cid", F.xxhash64("host", "same")))
+               .distinct().withColumn("cid", F.xxhash64("host", "same")))
     first = F.min(F.struct(F.regexp_extract(address, PATH, 1).alias("path"), address.alias("whole"), "page_id", "rk")).alias("first")
     classes = keys.groupBy("host", "cid", "article").agg(first).select("host", "cid", "article", "first.*")
     numbered = row_number_by(classes, ["host"], ["path", "whole", "page_id", "rk", "cid"], "n")
@@ -381,26 +399,30 @@ def extract(pages: DataFrame) -> DataFrame:
     placed = cut(numbered.join(sizes, "host").select(
         F.col("page_id").alias("pid"), F.col("rk").alias("prk"), "cid", "article", F.col("n").cast("bigint"),
         F.xxhash64("host", F.least(F.floor((F.col("n") - 1) / BLOCK), last)).alias("block")))
-    open_blocks = placed.filter(~F.col("article")).select("block").distinct()
-    placed = placed.join(open_blocks, "block", "left_semi")
+    # a block's only class has nothing to be compared with
+    several = placed.groupBy("block").agg(F.count(F.lit(1)).alias("classes")).filter("classes > 1").select("block")
+    placed = placed.join(several, "block", "left_semi")
     lines = map_rows(rows, lines_of, "page_id bigint, rk bigint, z binary", 64)
     joined = lines.join(placed, F.col("page_id").eqNullSafe(F.col("pid")) & (F.col("rk") == F.col("prk"))).select(
         "cid", "article", "n", "block", "z")
 
     def difference(c: dict) -> dict:
-        """Blocks of neighbours, one page of each class."""
-        out: dict[str, list] = {"cid": [], "text": []}
+        """Blocks of neighbours, one page of each class: the lines that a class loses, if any."""
+        out: dict[str, list] = {"cid": [], "gone": []}
         for group in c["pages"]:
             group = sorted(group, key=lambda p: p["n"])
-            found = [unpacked(p["z"]) for p in group]
-            for p, (text, places), gone in zip(group, found, template(found, [p["article"] for p in group])):
-                if not p["article"]:
+            for p, gone in zip(group, template([unpacked(p["z"]) for p in group], [p["article"] for p in group])):
+                if gone:
                     out["cid"].append(p["cid"])
-                    out["text"].append(main_text(text, places, gone))
+                    out["gone"].append(sorted(gone))
         return out
 
     blocks = joined.groupBy("block").agg(F.collect_set(F.struct("n", "cid", "article", "z")).alias("pages"))
-    texts = map_rows(blocks, difference, "cid bigint, text string", 16)
-    others = (keys.filter(~F.col("article")).join(texts, "cid").withColumn("copy", F.explode(F.sequence(F.lit(1), "copies")))
-              .select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars")))
-    return map_rows(rows, articles_of, "page_id bigint, url string, text string, n_chars bigint", 64).unionByName(others)
+    gone = map_rows(blocks, difference, "cid bigint, gone array<int>", 16)
+    # written, so that its size is known: where few pages lose lines the texts are not dealt out for the join
+    gone = Tables(pages.sparkSession).put(keys.join(gone, "cid").select(F.col("page_id").alias("pid"), F.col("rk").alias("prk"), "gone"))
+    texts = map_rows(rows, texts_of, "page_id bigint, rk bigint, url string, text string", 64)
+    kept = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("gone", i)), "\n")
+    whole = texts.join(gone, F.col("page_id").eqNullSafe(F.col("pid")) & (F.col("rk") == F.col("prk")), "left")
+    return (whole.select("page_id", "url", F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept).alias("text"))
+            .withColumn("n_chars", F.length("text").cast("bigint")))
